@@ -33,12 +33,12 @@ from nestweave.functions.nested import (
 from nestweave.operators.dimension import dimension_sizes, find_in_table, lookup_table
 from nestweave.operators.metrics import metric_columns
 from nestweave.operators.spread import (
-    PIECE,
     HotKeys,
     assign_piece,
     copy_to_pieces,
+    hot_table,
+    join_pieces,
     partition_salt,
-    spread_join,
 )
 
 NOT_FOUND = "NOT_FOUND"
@@ -49,6 +49,7 @@ IN_MEMORY_ROWS = 200_000
 IN_MEMORY_BYTES = 16 << 20
 
 _SET = "_id_set"
+_SET_PIECE = "_id_set_piece"
 _ENTRIES_PER_BUCKET = 2
 
 
@@ -209,37 +210,59 @@ def _attach_maps(
     """
     ids = {i: id_set(domains[i].array, domains[i].id_field) for i in indexes}
     set_hash = F.xxhash64(*ids.values()).alias(_SET)
-
-    # Copies of a set collapse on the map side. Only id columns are read for this.
     id_columns = [expr.alias(_helper("ids", i)) for i, expr in ids.items()]
-    sets = (
-        docs.select(set_hash, *id_columns)
-        .groupBy(_SET, *[_helper("ids", i) for i in indexes])
-        .agg(F.count("*").alias("_n"))
-    )
-    hot = hot_keys.find(sets, _SET, "_n")
-    pieces = copy_to_pieces(sets, hot, _SET)
+
+    # Only id columns are read for the sets, and copies of a set collapse on the map side.
+    keyed = docs.select(set_hash, *id_columns)
+    hot = _hot_sets_and_ids(keyed, indexes, hot_keys)
+    sets = copy_to_pieces(keyed.distinct(), hot[_SET], _SET, _SET_PIECE)
+    set_keys = [_SET] if hot[_SET] is None else [_SET, _SET_PIECE]
 
     def named(i: int) -> DataFrame:
-        pairs = pieces.select(_SET, F.col(PIECE).alias("_part"), F.explode(_helper("ids", i)).alias("id"))
-        found = spread_join(
-            pairs,
-            domains[i].entries(),
-            "id",
-            "inner",
-            salt=F.xxhash64(_SET, "_part"),
-            hot_keys=hot_keys,
-        )
-        return found.select(_SET, "_part", F.struct("id", "name").alias(_helper("entry", i)))
+        # The outer explode keeps the sets the same for all domains, so Spark computes them once;
+        # the null id of an empty set finds nothing.
+        pairs = sets.select(*set_keys, F.explode_outer(_helper("ids", i)).alias("id"))
+        salt = F.xxhash64(*set_keys)
+        found = join_pieces(pairs, domains[i].entries(), "id", "inner", hot[i], salt)
+        return found.select(*set_keys, F.struct("id", "name").alias(_helper("entry", i)))
 
     entries = reduce(
         lambda a, b: a.unionByName(b, allowMissingColumns=True), [named(i) for i in indexes]
     )
-    maps = entries.groupBy(_SET, F.col("_part").alias(PIECE)).agg(
+    maps = entries.groupBy(*set_keys).agg(
         *[
             F.map_from_entries(F.collect_set(_helper("entry", i))).alias(_helper("map", i))
             for i in indexes
         ]
     )
-    keyed = docs.select("*", set_hash)
-    return assign_piece(keyed, hot, _SET, partition_salt()).join(maps, [_SET, PIECE], "left")
+    hashed = docs.select("*", set_hash)
+    whole = assign_piece(hashed, hot[_SET], _SET, partition_salt(), _SET_PIECE)
+    return whole.join(maps, set_keys, "left")
+
+
+def _hot_sets_and_ids(
+    keyed: DataFrame, indexes: Sequence[int], hot_keys: HotKeys
+) -> dict[object, DataFrame | None]:
+    """The hot id sets, and per domain the hot ids, counted together over the id columns.
+
+    An id occurs at most once per document here, so few documents cannot have a hot one.
+    """
+    if keyed.count() <= hot_keys.floor:
+        return dict.fromkeys((_SET, *indexes))
+    spark = keyed.sparkSession
+
+    def tagged(tag: int, hashed: Column) -> Column:
+        return F.struct(F.lit(tag).alias("tag"), hashed.alias("hash"))
+
+    def tagged_ids(i: int) -> Column:
+        return F.transform(_helper("ids", i), lambda key: tagged(i, F.xxhash64(key)))
+
+    every = F.concat(
+        F.array(tagged(-1, F.xxhash64(_SET))), *[tagged_ids(i) for i in indexes]
+    )
+    hashes = keyed.select(F.inline(every))
+    hot = hot_keys.find(hashes, "tag", "hash")
+    chosen = {tag: [(h, n) for t, h, n in hot if t == tag] for tag in (-1, *indexes)}
+    return {
+        _SET if tag == -1 else tag: hot_table(spark, rows) for tag, rows in chosen.items()
+    }

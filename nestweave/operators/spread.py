@@ -2,19 +2,28 @@
 
 A key is hot when it holds more than ``1 / share`` of all rows. However the data look, at most
 ``share`` keys can be hot, and cutting each into pieces of that size makes fewer than ``2 * share``
-pieces in total. The list of hot keys is therefore bounded by construction and safe to broadcast,
-and so is the number of copies on the other side of the join.
+pieces in total. The list of hot keys is therefore bounded by construction, and so is the number
+of rows that are repeated on the other side of the join. Every row takes part: hot keys are cut
+into pieces, nothing is dropped.
+
+Keys are counted by their 64-bit hash, so the pass over them moves little. Two keys with the same
+hash are cut up together, which changes where their rows go and not what they join to.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PIECE = "_piece"
-PIECES = "_pieces"
+_HOT = "_hot_hash"
+_PIECES = "_pieces"
+
+# Pieces over which rows with a null key are spread; they match nothing.
+_NULL_PIECES = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -24,41 +33,60 @@ class HotKeys:
     floor: int = 100_000
     share: int = 100_000
 
-    def find(self, counts: DataFrame, key: str, n: str) -> DataFrame:
-        """(key, number of pieces) of the hot keys, at most ``share`` rows, marked for broadcast.
+    def find(self, hashes: DataFrame, *key: str) -> list:
+        """The hot values of the ``key`` columns with the number of pieces to cut each into.
 
-        ``counts`` holds the pre-aggregated number of rows ``n`` per key; a key may occur in
-        several rows.
+        At most ``share`` rows reach the driver.
         """
-        total = counts.agg(F.sum(n)).scalar()
-        load = F.col(n) * self.share
-        hot = (
-            counts.where((F.col(n) > self.floor) & (load > total))
-            .groupBy(key)
-            .agg(F.max(F.ceil(load / total)).cast("int").alias(PIECES))
+        total = hashes.count()
+        if total <= self.floor:
+            return []
+        load = F.col("_n") * self.share
+        return (
+            hashes.groupBy(*key)
+            .agg(F.count("*").alias("_n"))
+            .where((F.col("_n") > self.floor) & (load > total))
+            .select(*key, F.ceil(load / total).cast("int").alias(_PIECES))
+            .collect()
         )
-        return F.broadcast(hot)
 
 
-def assign_piece(df: DataFrame, hot: DataFrame, key: str, salt: Column) -> DataFrame:
-    """Gives every row one piece of its key: 0, or ``salt`` modulo the pieces of a hot key.
+def hot_table(spark: SparkSession, hot: Iterable[tuple[int, int]]) -> DataFrame | None:
+    """(hash, pieces) as a table to broadcast, or None if no key is hot."""
+    rows = [(int(key), int(pieces)) for key, pieces in hot]
+    if not rows:
+        return None
+    return F.broadcast(spark.createDataFrame(rows, f"{_HOT} long, {_PIECES} int"))
 
-    Rows with a null key match nothing, so they are spread by ``salt`` alone.
-    """
-    pieces = F.coalesce(F.col(PIECES), F.lit(1))
-    piece = F.when(F.col(key).isNull(), F.pmod(salt, F.lit(1 << 20))).otherwise(
+
+def assign_piece(
+    df: DataFrame, hot: DataFrame | None, key: str, salt: Column, piece: str = PIECE
+) -> DataFrame:
+    """Gives every row one piece of its key: 0, or ``salt`` modulo the pieces of a hot key."""
+    if hot is None:
+        return df
+    pieces = F.coalesce(F.col(_PIECES), F.lit(1))
+    number = F.when(F.col(key).isNull(), F.pmod(salt, F.lit(_NULL_PIECES))).otherwise(
         F.pmod(salt, pieces)
     )
-    return df.join(hot, key, "left").withColumn(PIECE, piece.cast("int")).drop(PIECES)
+    return (
+        df.join(hot, F.xxhash64(key) == F.col(_HOT), "left")
+        .withColumn(piece, number.cast("int"))
+        .drop(_HOT, _PIECES)
+    )
 
 
-def copy_to_pieces(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+def copy_to_pieces(
+    df: DataFrame, hot: DataFrame | None, key: str, piece: str = PIECE
+) -> DataFrame:
     """Repeats every row once per piece of its key."""
-    last = F.coalesce(F.col(PIECES), F.lit(1)) - 1
+    if hot is None:
+        return df
+    last = F.coalesce(F.col(_PIECES), F.lit(1)) - 1
     return (
-        df.join(hot, key, "left")
-        .withColumn(PIECE, F.explode(F.sequence(F.lit(0), last)))
-        .drop(PIECES)
+        df.join(hot, F.xxhash64(key) == F.col(_HOT), "left")
+        .withColumn(piece, F.explode(F.sequence(F.lit(0), last)))
+        .drop(_HOT, _PIECES)
     )
 
 
@@ -70,20 +98,28 @@ def partition_salt() -> Column:
     return F.spark_partition_id()
 
 
-def spread_join(
+def join_pieces(
     left: DataFrame,
     right: DataFrame,
     key: str,
     how: str,
-    salt: Column | None = None,
-    hot_keys: HotKeys = HotKeys(),
+    hot: DataFrame | None,
+    salt: Column,
 ) -> DataFrame:
-    """Joins ``left`` to ``right``, which has one row per key, with hot keys of ``left`` cut up.
+    """Joins ``left`` to ``right``, which has one row per key, with the keys of ``hot`` cut up."""
+    keys = [key] if hot is None else [key, PIECE]
+    pieces = copy_to_pieces(right, hot, key)
+    return assign_piece(left, hot, key, salt).join(pieces, keys, how).drop(PIECE)
 
-    ``how`` is ``inner``, ``left`` or ``left_semi``.
+
+def spread_join(
+    left: DataFrame, right: DataFrame, key: str, how: str, hot_keys: HotKeys = HotKeys()
+) -> DataFrame:
+    """:func:`join_pieces` with the hot keys of ``left`` counted first.
+
+    ``how`` is ``inner``, ``left`` or ``left_semi``. Counting reads the key column of ``left``
+    twice more and combines on the map side; a small ``left`` is not grouped.
     """
-    counts = left.groupBy(key).agg(F.count("*").alias("_n"))
-    hot = hot_keys.find(counts, key, "_n")
-    salt = partition_salt() if salt is None else salt
-    pieces = copy_to_pieces(right, hot, key)
-    return assign_piece(left, hot, key, salt).join(pieces, [key, PIECE], how).drop(PIECE)
+    hashes = left.select(F.xxhash64(key).alias(_HOT))
+    hot = hot_table(left.sparkSession, hot_keys.find(hashes, _HOT))
+    return join_pieces(left, right, key, how, hot, partition_salt())
