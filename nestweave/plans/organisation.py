@@ -91,7 +91,7 @@ def enrich_documents(
     checkpoint: str,
     trigger: str = "ONCE",
     max_files: int | None = 1,
-    max_bytes: int | str | None = None,
+    max_bytes: int | None = None,
     on_batch: Callable[[int, dict[str, object]], None] | None = None,
 ) -> StreamingQuery:
     """Second job: the documents appended to ``table``, enriched batch by batch into ``sink``.
