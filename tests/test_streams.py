@@ -1,0 +1,178 @@
+"""The two hops on files: stream equals batch, reruns and replays add nothing, failures fail."""
+
+import json
+import uuid
+
+import pytest
+
+import org
+from nestweave.operators.metrics import row_count
+from nestweave.plans.organisation import (
+    enrich_documents,
+    enrich_organisations,
+    import_documents,
+)
+from nestweave.schemas import create_document_table, document_schema
+from nestweave.session import SETTINGS, shared_folder, shared_root
+from nestweave.sources.documents import folder_stream, nested_file_stream
+from nestweave.streaming.control import ProgressLog, run_to_completion, trigger_policy
+from nestweave.streaming.enrichment import BATCH, append_to_table, enrich_stream, replay_safe_folder
+
+ONCE = trigger_policy("ONCE")
+
+
+@pytest.fixture
+def inbox(spark, tmp_path):
+    """Three JSON files of documents and one the glob must leave alone."""
+    folder = tmp_path / "inbox"
+    folder.mkdir()
+    docs = org.documents(spark).toJSON().collect()
+    for i in range(3):
+        (folder / f"teams-{i}.json").write_text("\n".join(docs[i::3]))
+    (folder / "other.json").write_text(docs[0])
+    return str(folder)
+
+
+def table_name():
+    return "t_" + uuid.uuid4().hex
+
+
+def import_all(spark, inbox, tmp_path, table):
+    query = import_documents(
+        spark, inbox, "teams-*.json", table, str(tmp_path / "cp-import"),
+        file_format="json", path=str(tmp_path / "raw"),
+    )
+    run_to_completion(query)
+
+
+def enrich_all(spark, table, tmp_path, sink, checkpoint="cp-enrich", **kwargs):
+    query = enrich_documents(
+        spark, table, lambda: org.reference(spark), ["ord"], sink, str(tmp_path / checkpoint), **kwargs
+    )
+    run_to_completion(query)
+
+
+def rows_of(df):
+    return sorted(json.dumps(r.asDict(True), sort_keys=True, default=str) for r in df.collect())
+
+
+def test_trigger_policy():
+    assert trigger_policy("once") == trigger_policy("ONCE") == {"availableNow": True}
+    assert trigger_policy("ALWAYS") == {"processingTime": "10 seconds"}
+
+
+def test_two_hops_equal_the_batch(spark, inbox, tmp_path):
+    table, out = table_name(), str(tmp_path / "out")
+    import_all(spark, inbox, tmp_path, table)
+    assert rows_of(spark.table(table)) == rows_of(org.documents(spark))
+    seen = {}
+    enrich_all(spark, table, tmp_path, replay_safe_folder(out), on_batch=seen.__setitem__)
+    result = spark.read.parquet(out).drop(BATCH)
+    batch = enrich_organisations(org.documents(spark), org.reference(spark), ["ord"])
+    assert rows_of(result) == rows_of(batch)
+    assert sum(m["documents"] for m in seen.values()) == len(org.DOCUMENTS)
+    assert sum(m["teams_hits"] for m in seen.values()) == 14
+
+    # The same checkpoints again: nothing is left to do.
+    import_all(spark, inbox, tmp_path, table)
+    enrich_all(spark, table, tmp_path, replay_safe_folder(out))
+    assert rows_of(spark.read.parquet(out).drop(BATCH)) == rows_of(batch)
+
+    # New files only: one more document, one more result.
+    with open(f"{inbox}/teams-9.json", "w") as f:
+        f.write(org.documents(spark, org.DOCUMENTS[:1]).toJSON().first())
+    import_all(spark, inbox, tmp_path, table)
+    enrich_all(spark, table, tmp_path, replay_safe_folder(out))
+    assert spark.read.parquet(out).count() == len(org.DOCUMENTS) + 1
+
+
+def test_replayed_batches_add_nothing(spark, inbox, tmp_path):
+    table, out = table_name(), str(tmp_path / "out")
+    import_all(spark, inbox, tmp_path, table)
+    enrich_all(spark, table, tmp_path, replay_safe_folder(out), "cp-1", max_files=None)
+    first = rows_of(spark.read.parquet(out))
+    enrich_all(spark, table, tmp_path, replay_safe_folder(out), "cp-2", max_files=None)
+    assert rows_of(spark.read.parquet(out)) == first
+
+
+def test_failed_lookup_fails_the_batch_and_is_repeated(spark, inbox, tmp_path):
+    table, out = table_name(), str(tmp_path / "out")
+    import_all(spark, inbox, tmp_path, table)
+
+    def unreachable():
+        raise ConnectionError("reference store is away")
+
+    query = enrich_documents(
+        spark, table, unreachable, ["ord"], replay_safe_folder(out), str(tmp_path / "cp-enrich")
+    )
+    with pytest.raises(Exception, match="reference store is away"):
+        run_to_completion(query)
+    assert not (tmp_path / "out").exists()
+    enrich_all(spark, table, tmp_path, replay_safe_folder(out))
+    assert spark.read.parquet(out).count() == len(org.DOCUMENTS)
+
+
+def test_empty_batch_writes_nothing(spark, tmp_path):
+    inbox = tmp_path / "empty"
+    inbox.mkdir()
+    (inbox / "none.json").write_text("")
+    stream = nested_file_stream(spark, str(inbox), document_schema(), "*", "json")
+    written = []
+    query = enrich_stream(
+        stream,
+        lambda batch, _: batch,
+        lambda df, batch_id: written.append(batch_id),
+        str(tmp_path / "cp"),
+        ONCE,
+    )
+    run_to_completion(query)
+    assert written == []
+
+
+def test_rate_limits_cut_batches(spark, inbox, tmp_path):
+    table = table_name()
+    import_all(spark, inbox, tmp_path, table)
+    raw = str(tmp_path / "raw")
+    # The first hop wrote one batch; spread it over files of known number.
+    spark.table(table).repartition(3).write.parquet(str(tmp_path / "three"))
+    for kwargs, batches in (({"max_files": 1}, 3), ({"max_bytes": 1 << 30}, 1), ({}, 1)):
+        stream = folder_stream(spark, str(tmp_path / "three"), spark.read.parquet(raw).schema, **kwargs)
+        seen = []
+        query = enrich_stream(
+            stream,
+            lambda batch, _: batch,
+            lambda df, batch_id, seen=seen: seen.append(df.count()),
+            shared_folder(spark, "cp"),
+            ONCE,
+        )
+        run_to_completion(query)
+        assert len(seen) == batches and sum(seen) == len(org.DOCUMENTS)
+
+
+def test_document_table_is_nested_parquet_with_zstd(spark, tmp_path):
+    table, folder = table_name(), str(tmp_path / "table")
+    create_document_table(spark, table, document_schema(), folder)
+    assert spark.table(table).schema.simpleString() == document_schema().simpleString()
+    append_to_table(table)(org.documents(spark), 0)
+    assert list((tmp_path / "table").glob("*.zstd.parquet"))
+    assert rows_of(spark.table(table)) == rows_of(org.documents(spark))
+    assert row_count(spark.table(table)).first().n_rows == len(org.DOCUMENTS)
+
+
+def test_progress_log(spark, inbox, tmp_path, caplog):
+    caplog.set_level("INFO", logger="nestweave.streaming.control")
+    listener = ProgressLog()
+    spark.streams.addListener(listener)
+    try:
+        import_all(spark, inbox, tmp_path, table_name())
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(listener)
+    text = caplog.text
+    assert "started" in text and "rows in" in text and "exception: None" in text
+
+
+def test_shared_folder_is_the_one_the_session_names(spark):
+    assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert shared_folder(spark, "x") != shared_folder(spark, "x")
+    assert "spark.checkpoint.dir" not in SETTINGS
