@@ -36,7 +36,6 @@ from nestweave.operators.spread import (
     HotKeys,
     assign_piece,
     copy_to_pieces,
-    hot_table,
     join_pieces,
     partition_salt,
 )
@@ -88,13 +87,13 @@ def enrich(
     domains: Sequence[Domain],
     strategy: str = "auto",
     observation: Observation | None = None,
-    hot_keys: HotKeys = HotKeys(),
+    hot_keys: HotKeys | None = HotKeys(),
 ) -> DataFrame:
     """``docs`` with the names of all ``domains`` written in; every other column is untouched.
 
     ``observation`` receives row, hit and miss counts while the result is written, without a
     pass of its own (:mod:`nestweave.operators.metrics`). Put filters on ``docs`` rather than on
-    the result, so that they reach the scan.
+    the result, so that they reach the scan. ``hot_keys=None`` skips the count of hot ids.
     """
     _check(docs, domains)
     in_memory = _choose(domains, strategy)
@@ -200,7 +199,7 @@ def _names(d: Domain, i: int, buckets: int | None) -> Column:
 
 
 def _attach_maps(
-    docs: DataFrame, domains: Sequence[Domain], indexes: Sequence[int], hot_keys: HotKeys
+    docs: DataFrame, domains: Sequence[Domain], indexes: Sequence[int], hot_keys: HotKeys | None
 ) -> DataFrame:
     """``docs`` with one id → name map column per domain.
 
@@ -214,7 +213,10 @@ def _attach_maps(
 
     # Only id columns are read for the sets, and copies of a set collapse on the map side.
     keyed = docs.select(set_hash, *id_columns)
-    hot = _hot_sets_and_ids(keyed, indexes, hot_keys)
+    hashes = {_SET: F.array(F.xxhash64(_SET))}
+    for i in indexes:
+        hashes[_helper("ids", i)] = F.transform(_helper("ids", i), lambda key: F.xxhash64(key))
+    hot = hot_keys.find(keyed, hashes) if hot_keys else dict.fromkeys(hashes)
     sets = copy_to_pieces(keyed.distinct(), hot[_SET], _SET, _SET_PIECE)
     set_keys = [_SET] if hot[_SET] is None else [_SET, _SET_PIECE]
 
@@ -223,7 +225,8 @@ def _attach_maps(
         # the null id of an empty set finds nothing.
         pairs = sets.select(*set_keys, F.explode_outer(_helper("ids", i)).alias("id"))
         salt = F.xxhash64(*set_keys)
-        found = join_pieces(pairs, domains[i].entries(), "id", "inner", hot[i], salt)
+        hot_ids = hot[_helper("ids", i)]
+        found = join_pieces(pairs, domains[i].entries(), "id", "inner", hot_ids, salt)
         return found.select(*set_keys, F.struct("id", "name").alias(_helper("entry", i)))
 
     entries = reduce(
@@ -238,31 +241,3 @@ def _attach_maps(
     hashed = docs.select("*", set_hash)
     whole = assign_piece(hashed, hot[_SET], _SET, partition_salt(), _SET_PIECE)
     return whole.join(maps, set_keys, "left")
-
-
-def _hot_sets_and_ids(
-    keyed: DataFrame, indexes: Sequence[int], hot_keys: HotKeys
-) -> dict[object, DataFrame | None]:
-    """The hot id sets, and per domain the hot ids, counted together over the id columns.
-
-    An id occurs at most once per document here, so few documents cannot have a hot one.
-    """
-    if keyed.count() <= hot_keys.floor:
-        return dict.fromkeys((_SET, *indexes))
-    spark = keyed.sparkSession
-
-    def tagged(tag: int, hashed: Column) -> Column:
-        return F.struct(F.lit(tag).alias("tag"), hashed.alias("hash"))
-
-    def tagged_ids(i: int) -> Column:
-        return F.transform(_helper("ids", i), lambda key: tagged(i, F.xxhash64(key)))
-
-    every = F.concat(
-        F.array(tagged(-1, F.xxhash64(_SET))), *[tagged_ids(i) for i in indexes]
-    )
-    hashes = keyed.select(F.inline(every))
-    hot = hot_keys.find(hashes, "tag", "hash")
-    chosen = {tag: [(h, n) for t, h, n in hot if t == tag] for tag in (-1, *indexes)}
-    return {
-        _SET if tag == -1 else tag: hot_table(spark, rows) for tag, rows in chosen.items()
-    }

@@ -12,7 +12,7 @@ hash are cut up together, which changes where their rows go and not what they jo
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,22 +33,38 @@ class HotKeys:
     floor: int = 100_000
     share: int = 100_000
 
-    def find(self, hashes: DataFrame, *key: str) -> list:
-        """The hot values of the ``key`` columns with the number of pieces to cut each into.
+    def find(self, rows: DataFrame, hashes: Mapping[str, Column]) -> dict[str, DataFrame | None]:
+        """Per name of ``hashes`` the hot values as a table to broadcast, or None without any.
 
-        At most ``share`` rows reach the driver.
+        ``hashes`` gives every row an array of key hashes, each at most once. All names are
+        counted together: one pass for the total and, unless it is small, one that groups with
+        map-side combining. At most ``share`` hot values in all reach the driver.
         """
-        total = hashes.count()
-        if total <= self.floor:
-            return []
-        load = F.col("_n") * self.share
-        return (
-            hashes.groupBy(*key)
-            .agg(F.count("*").alias("_n"))
-            .where((F.col("_n") > self.floor) & (load > total))
-            .select(*key, F.ceil(load / total).cast("int").alias(_PIECES))
+        total = F.lit(0).cast("long")
+        for column in hashes.values():
+            total = total + F.size(column)
+        n_rows, n_hashes = rows.agg(F.count("*"), F.sum(total)).first()
+        if n_rows <= self.floor:
+            return dict.fromkeys(hashes)
+        tagged = [_tagged(name, column) for name, column in hashes.items()]
+        load = F.col("n") * self.share
+        hot = (
+            rows.select(F.inline(F.concat(*tagged)))
+            .groupBy("name", "hash")
+            .agg(F.count("*").alias("n"))
+            .where((F.col("n") > self.floor) & (load > n_hashes))
+            .select("name", "hash", F.ceil(load / n_hashes).cast("int").alias("pieces"))
             .collect()
         )
+        spark = rows.sparkSession
+        return {
+            name: hot_table(spark, [(r.hash, r.pieces) for r in hot if r.name == name])
+            for name in hashes
+        }
+
+
+def _tagged(name: str, hashes: Column) -> Column:
+    return F.transform(hashes, lambda h: F.struct(F.lit(name).alias("name"), h.alias("hash")))
 
 
 def hot_table(spark: SparkSession, hot: Iterable[tuple[int, int]]) -> DataFrame | None:
@@ -112,14 +128,30 @@ def join_pieces(
     return assign_piece(left, hot, key, salt).join(pieces, keys, how).drop(PIECE)
 
 
-def spread_join(
-    left: DataFrame, right: DataFrame, key: str, how: str, hot_keys: HotKeys = HotKeys()
+def spread_joins(
+    left: DataFrame,
+    rights: Mapping[str, DataFrame],
+    how: str,
+    hot_keys: HotKeys | None = HotKeys(),
 ) -> DataFrame:
-    """:func:`join_pieces` with the hot keys of ``left`` counted first.
+    """Joins ``left`` to one table after the other, each on a key column of ``left``.
 
-    ``how`` is ``inner``, ``left`` or ``left_semi``. Counting reads the key column of ``left``
-    twice more and combines on the map side; a small ``left`` is not grouped.
+    Every table has one row per key. The hot keys of all columns are found first, together. ``how``
+    is ``inner``, ``left`` or ``left_semi``. ``hot_keys=None`` is for keys known to be even.
     """
-    hashes = left.select(F.xxhash64(key).alias(_HOT))
-    hot = hot_table(left.sparkSession, hot_keys.find(hashes, _HOT))
-    return join_pieces(left, right, key, how, hot, partition_salt())
+    hashes = {key: F.array(F.xxhash64(key)) for key in rights}
+    hot = hot_keys.find(left, hashes) if hot_keys else dict.fromkeys(hashes)
+    for key, right in rights.items():
+        left = join_pieces(left, right, key, how, hot[key], partition_salt())
+    return left
+
+
+def spread_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    how: str,
+    hot_keys: HotKeys | None = HotKeys(),
+) -> DataFrame:
+    """:func:`spread_joins` with one table."""
+    return spread_joins(left, {key: right}, how, hot_keys)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,7 +23,8 @@ from nestweave.operators.keys import (
     nested_keys,
 )
 from nestweave.operators.lookup import Domain, enrich, lookup_sizes, prune_dimensions
-from nestweave.operators.metrics import metric_columns, row_count
+from nestweave.operators.metrics import row_count
+from nestweave.operators.spread import spread_join, spread_joins
 from nestweave.plans.order_documents import (
     documents,
     documents_folder,
@@ -289,14 +290,27 @@ JOIN nation ON s_nationkey = n_nationkey
 def wide_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A denormalised reference: one row per line with the ids and names of three domains."""
     lines = read_table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey", "l_shipdate")
-    suppliers = read_table(spark, sf_dir, "supplier")
-    parts = read_table(spark, sf_dir, "part")
-    nations = read_table(spark, sf_dir, "nation")
-    return (
-        lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select("s_suppkey", "s_name", "p_partkey", "p_name", "n_nationkey", "n_name", "l_shipdate")
+    nations = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    suppliers = read_table(spark, sf_dir, "supplier").join(
+        nations, F.col("s_nationkey") == F.col("n_nationkey")
+    )
+    rights = {
+        "l_suppkey": suppliers.select(
+            F.col("s_suppkey").alias("l_suppkey"), "s_name", "n_nationkey", "n_name"
+        ),
+        "l_partkey": read_table(spark, sf_dir, "part").select(
+            F.col("p_partkey").alias("l_partkey"), "p_name"
+        ),
+    }
+    wide = spread_joins(lines, rights, "inner")
+    return wide.select(
+        F.col("l_suppkey").alias("s_suppkey"),
+        "s_name",
+        F.col("l_partkey").alias("p_partkey"),
+        "p_name",
+        "n_nationkey",
+        "n_name",
+        "l_shipdate",
     )
 
 
@@ -379,8 +393,8 @@ SELECT DISTINCT * FROM (
 def reference_union_dedup(spark, sf_dir):
     """Three parts that overlap: all suppliers, those in credit, and one row per line delivered."""
     suppliers = read_table(spark, sf_dir, "supplier")
-    lines = read_table(spark, sf_dir, "lineitem")
-    delivered = lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+    lines = read_table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("s_suppkey"))
+    delivered = spread_join(lines, suppliers, "s_suppkey", "inner")
     parts = [suppliers, suppliers.where("s_acctbal > 0"), delivered]
     return reference_snapshot([p.select("s_suppkey", "s_name", "s_nationkey") for p in parts])
 
@@ -440,25 +454,31 @@ def document_table_round_trip(spark, sf_dir):
 
 # --- counts -----------------------------------------------------------------------------------
 
+METRICS = ["documents", "orders_elements", "orders_hits", "orders_misses"]
 
-@query(
-    f"""
+
+def _metrics_table(spark: SparkSession, batches: list[dict]) -> DataFrame:
+    rows = [tuple(m[n] for n in METRICS) for m in batches]
+    table = spark.createDataFrame(rows, ", ".join(f"{n} long" for n in METRICS))
+    return table.agg(*[F.sum(n).alias(n) for n in METRICS])
+
+
+METRICS_SQL = f"""
 SELECT (SELECT count(DISTINCT o_custkey) FROM orders) AS documents, count(*) AS orders_elements,
        count(*) FILTER (WHERE enrich <> 'NOT_FOUND') AS orders_hits,
        count(*) FILTER (WHERE enrich = 'NOT_FOUND') AS orders_misses
 FROM ({ORDER_FLAG_SQL})
 """
-)
+
+
+@query(METRICS_SQL)
 def enrichment_metrics(spark, sf_dir):
+    """Counts that ride along with the write of the result."""
     docs = documents(spark, sf_dir, "customers")
-    enriched = enrich(docs, [order_flag_domain(spark, sf_dir)])
-    # With nothing but hits and misses to tell apart, the default marks a miss.
-    names = F.transform(
-        F.col("orders.entries"),
-        lambda e: F.nullif(F.get(e, F.lit(0)).getField("ENRICH"), F.lit("NOT_FOUND")),
-    )
-    metrics = metric_columns([("orders", "entries", "names")])
-    return enriched.withColumn("names", names).agg(*metrics)
+    observation = Observation()
+    enriched = enrich(docs, [order_flag_domain(spark, sf_dir)], observation=observation)
+    enriched.write.format("noop").mode("overwrite").save()
+    return _metrics_table(spark, [observation.get])
 
 
 @query(
@@ -585,22 +605,11 @@ def stream_replay_idempotent(spark, sf_dir):
     return customer_orders(spark.read.parquet(out).drop(BATCH))
 
 
-@query(
-    f"""
-SELECT count(*) AS orders_elements,
-       count(*) FILTER (WHERE enrich <> 'NOT_FOUND') AS orders_hits,
-       count(*) FILTER (WHERE enrich = 'NOT_FOUND') AS orders_misses
-FROM ({ORDER_FLAG_SQL})
-"""
-)
+@query(METRICS_SQL)
 def stream_metrics(spark, sf_dir):
     """Counts that rode along with the writes of the micro-batches, summed up."""
     seen = []
     _enrich_customers(
         spark, sf_dir, shared_folder(spark, "enriched"), lambda _, m: seen.append(m)
     )
-    names = ["orders_elements", "orders_hits", "orders_misses"]
-    batches = spark.createDataFrame(
-        [tuple(m[n] for n in names) for m in seen], ", ".join(f"{n} long" for n in names)
-    )
-    return batches.agg(*[F.sum(n).alias(n) for n in names])
+    return _metrics_table(spark, seen)

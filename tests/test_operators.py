@@ -63,12 +63,12 @@ def test_spread_join_equals_a_plain_join(skewed, how, hot_keys):
 
 def test_hot_keys_are_few_and_cut_into_pieces(spark, skewed):
     left, *_ = skewed
-    hashes = left.select("key", F.xxhash64("key").alias("h"))
-    hot = CUT.find(hashes, "key")
-    pieces = {r[0]: r[1] for r in hot}
-    assert pieces["hot"] == 17  # a third of all rows in pieces of a fiftieth
+    hashes = {"key": F.array(F.xxhash64("key"))}
+    hot = CUT.find(left, hashes)["key"].collect()
+    pieces = {h: n for h, n in map(tuple, hot)}
+    assert pieces[left.where("key = 'hot'").select(F.xxhash64("key")).first()[0]] == 17
     assert len(hot) <= CUT.share and sum(pieces.values()) <= 2 * CUT.share
-    assert HotKeys().find(hashes, "key") == []
+    assert HotKeys().find(left, hashes) == {"key": None}
     assert hot_table(spark, []) is None
 
 
