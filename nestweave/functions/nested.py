@@ -22,8 +22,8 @@ def nested_ids(array: str, id_field: str) -> Column:
 
 
 def id_set(array: str, id_field: str) -> Column:
-    """The distinct non-null ids of ``array``, sorted, so that equal sets are equal arrays."""
-    ids = F.array_distinct(F.array_compact(nested_ids(array, id_field)))
+    """The distinct ids of ``array``, sorted, so that equal sets are equal arrays; never null."""
+    ids = F.array_distinct(nested_ids(array, id_field))
     return F.coalesce(F.sort_array(ids), F.array())
 
 

@@ -213,10 +213,8 @@ def _attach_maps(
 
     # Only id columns are read for the sets, and copies of a set collapse on the map side.
     keyed = docs.select(set_hash, *id_columns)
-    hashes = {_SET: F.array(F.xxhash64(_SET))}
-    for i in indexes:
-        hashes[_helper("ids", i)] = F.transform(_helper("ids", i), lambda key: F.xxhash64(key))
-    hot = hot_keys.find(keyed, hashes) if hot_keys else dict.fromkeys(hashes)
+    keys = {_SET: F.array(_SET), **{_helper("ids", i): F.col(_helper("ids", i)) for i in indexes}}
+    hot = hot_keys.find(keyed, keys) if hot_keys else dict.fromkeys(keys)
     sets = copy_to_pieces(keyed.distinct(), hot[_SET], _SET, _SET_PIECE)
     set_keys = [_SET] if hot[_SET] is None else [_SET, _SET_PIECE]
 

@@ -6,8 +6,8 @@ pieces in total. The list of hot keys is therefore bounded by construction, and
 of rows that are repeated on the other side of the join. Every row takes part: hot keys are cut
 into pieces, nothing is dropped.
 
-Keys are counted by their 64-bit hash, so the pass over them moves little. Two keys with the same
-hash are cut up together, which changes where their rows go and not what they join to.
+Keys are counted by a hash, so the pass over them moves little. Two keys with the same hash are
+cut up together, which changes where their rows go and not what they join to.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 PIECE = "_piece"
 _HOT = "_hot_hash"
 _PIECES = "_pieces"
+_TAG_BITS = 6
 
 # Pieces over which rows with a null key are spread; they match nothing.
 _NULL_PIECES = 1 << 16
@@ -33,38 +34,49 @@ class HotKeys:
     floor: int = 100_000
     share: int = 100_000
 
-    def find(self, rows: DataFrame, hashes: Mapping[str, Column]) -> dict[str, DataFrame | None]:
-        """Per name of ``hashes`` the hot values as a table to broadcast, or None without any.
+    def find(self, rows: DataFrame, keys: Mapping[str, Column]) -> dict[str, DataFrame | None]:
+        """Per name of ``keys`` its hot values as a table to broadcast, or None without any.
 
-        ``hashes`` gives every row an array of key hashes, each at most once. All names are
-        counted together: one pass for the total and, unless it is small, one that groups with
-        map-side combining. At most ``share`` hot values in all reach the driver.
+        ``keys`` gives every row an array of key values, each at most once. All names are counted
+        together: one pass for the total and, unless it is small, one that groups with map-side
+        combining. At most ``share`` hot values in all reach the driver.
         """
+        if len(keys) > 1 << _TAG_BITS:
+            raise ValueError("too many keys to count together")
         total = F.lit(0).cast("long")
-        for column in hashes.values():
-            total = total + F.size(column)
-        n_rows, n_hashes = rows.agg(F.count("*"), F.sum(total)).first()
+        for values in keys.values():
+            total = total + F.coalesce(F.array_size(values), F.lit(0))
+        n_rows, n_keys = rows.agg(F.count("*"), F.sum(total)).first()
         if n_rows <= self.floor:
-            return dict.fromkeys(hashes)
-        tagged = [_tagged(name, column) for name, column in hashes.items()]
+            return dict.fromkeys(keys)
+        hashes = [_tagged(values, tag) for tag, values in enumerate(keys.values())]
         load = F.col("n") * self.share
         hot = (
-            rows.select(F.inline(F.concat(*tagged)))
-            .groupBy("name", "hash")
+            rows.select(F.explode(F.concat(*hashes)).alias("hash"))
+            .groupBy("hash")
             .agg(F.count("*").alias("n"))
-            .where((F.col("n") > self.floor) & (load > n_hashes))
-            .select("name", "hash", F.ceil(load / n_hashes).cast("int").alias("pieces"))
+            .where((F.col("n") > self.floor) & (load > n_keys))
+            .select("hash", F.ceil(load / n_keys).cast("int").alias("pieces"))
             .collect()
         )
         spark = rows.sparkSession
         return {
-            name: hot_table(spark, [(r.hash, r.pieces) for r in hot if r.name == name])
-            for name in hashes
+            name: hot_table(
+                spark,
+                [(h - tag, n) for h, n in hot if h % (1 << _TAG_BITS) == tag],
+            )
+            for tag, name in enumerate(keys)
         }
 
 
-def _tagged(name: str, hashes: Column) -> Column:
-    return F.transform(hashes, lambda h: F.struct(F.lit(name).alias("name"), h.alias("hash")))
+def _hash(key: Column | str) -> Column:
+    """A hash of ``key`` whose lowest bits are free for the number of the column it is from."""
+    return F.shiftleft(F.xxhash64(key), _TAG_BITS)
+
+
+def _tagged(values: Column, tag: int) -> Column:
+    hashes = F.transform(values, lambda key: _hash(key).bitwiseOR(F.lit(tag).cast("long")))
+    return F.coalesce(hashes, F.array().cast("array<bigint>"))
 
 
 def hot_table(spark: SparkSession, hot: Iterable[tuple[int, int]]) -> DataFrame | None:
@@ -86,7 +98,7 @@ def assign_piece(
         F.pmod(salt, pieces)
     )
     return (
-        df.join(hot, F.xxhash64(key) == F.col(_HOT), "left")
+        df.join(hot, _hash(key) == F.col(_HOT), "left")
         .withColumn(piece, number.cast("int"))
         .drop(_HOT, _PIECES)
     )
@@ -100,7 +112,7 @@ def copy_to_pieces(
         return df
     last = F.coalesce(F.col(_PIECES), F.lit(1)) - 1
     return (
-        df.join(hot, F.xxhash64(key) == F.col(_HOT), "left")
+        df.join(hot, _hash(key) == F.col(_HOT), "left")
         .withColumn(piece, F.explode(F.sequence(F.lit(0), last)))
         .drop(_HOT, _PIECES)
     )
@@ -139,8 +151,8 @@ def spread_joins(
     Every table has one row per key. The hot keys of all columns are found first, together. ``how``
     is ``inner``, ``left`` or ``left_semi``. ``hot_keys=None`` is for keys known to be even.
     """
-    hashes = {key: F.array(F.xxhash64(key)) for key in rights}
-    hot = hot_keys.find(left, hashes) if hot_keys else dict.fromkeys(hashes)
+    keys = {key: F.array(key) for key in rights}
+    hot = hot_keys.find(left, keys) if hot_keys else dict.fromkeys(keys)
     for key, right in rights.items():
         left = join_pieces(left, right, key, how, hot[key], partition_salt())
     return left
