@@ -42,14 +42,13 @@ def dimension_sizes(dimensions: Sequence[tuple[DataFrame, str, str]]) -> list[tu
     return [(r.n_rows, r.n_bytes) for r in sorted(sizes.collect(), key=lambda r: r.dimension)]
 
 
-def lookup_table(
+def lookup_buckets(
     dimension: DataFrame, id_column: str, name_column: str, buckets: int
 ) -> DataFrame:
-    """One row with one column ``lookup``: an array of small id → name maps, one per hash bucket.
+    """(bucket, entries) for every hash bucket, the empty ones included.
 
-    A Spark map is searched from its first entry to its last; the bucket number takes a lookup
-    straight to a map of a few entries. The whole dimension ends up in one value, so callers
-    measure it first (:func:`dimension_sizes`).
+    ``entries`` holds (key, value) structs of a few ids if ``buckets`` is chosen to match the
+    size of the dimension. The rows are spread over the cluster.
     """
     entries = dimension.where(F.col(id_column).isNotNull()).select(
         bucket_of(F.col(id_column), buckets).alias("bucket"),
@@ -58,12 +57,23 @@ def lookup_table(
     every_bucket = dimension.sparkSession.range(buckets).select(
         F.col("id").cast("int").alias("bucket")
     )
-    by_bucket = (
+    return (
         entries.unionByName(every_bucket, allowMissingColumns=True)
         .groupBy("bucket")
         .agg(F.collect_set("entry").alias("entries"))
     )
-    return by_bucket.agg(
+
+
+def lookup_table(
+    dimension: DataFrame, id_column: str, name_column: str, buckets: int
+) -> DataFrame:
+    """One row with one column ``lookup``: an array of small id → name maps, one per hash bucket.
+
+    A Spark map is searched from its first entry to its last; the bucket number takes a lookup
+    straight to a map of a few entries. The whole dimension ends up in one value: this is for
+    dimensions that were measured (:func:`dimension_sizes`) and found small.
+    """
+    return lookup_buckets(dimension, id_column, name_column, buckets).agg(
         F.transform(
             F.sort_array(F.collect_list(F.struct("bucket", "entries"))),
             lambda b: F.map_from_entries(b.getField("entries")),
@@ -71,6 +81,11 @@ def lookup_table(
     )
 
 
+def buckets_for(rows: int) -> int:
+    """A number of buckets that leaves about two entries in each."""
+    return max(1, rows // 2)
+
+
 def bucket_of(key: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 

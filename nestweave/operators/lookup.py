@@ -30,7 +30,12 @@ from nestweave.functions.nested import (
     lookup_or_default,
     nested_ids,
 )
-from nestweave.operators.dimension import dimension_sizes, find_in_table, lookup_table
+from nestweave.operators.dimension import (
+    buckets_for,
+    dimension_sizes,
+    find_in_table,
+    lookup_table,
+)
 from nestweave.operators.metrics import metric_columns
 from nestweave.operators.spread import (
     HotKeys,
@@ -49,7 +54,6 @@ IN_MEMORY_BYTES = 16 << 20
 
 _SET = "_id_set"
 _SET_PIECE = "_id_set_piece"
-_ENTRIES_PER_BUCKET = 2
 
 
 @dataclass(frozen=True)
@@ -174,7 +178,7 @@ def _choose(domains: Sequence[Domain], strategy: str) -> dict[int, int]:
     chosen = {}
     for i, (rows, size) in enumerate(sizes):
         if rows <= IN_MEMORY_ROWS and size <= IN_MEMORY_BYTES:
-            chosen[i] = max(1, rows // _ENTRIES_PER_BUCKET)
+            chosen[i] = buckets_for(rows)
         elif strategy == "in_memory":
             raise ValueError(
                 f"dimension of {domains[i].array} is too large to hold in memory: "

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -93,6 +94,8 @@ def enrich_documents(
     max_files: int | None = 1,
     max_bytes: int | None = None,
     on_batch: Callable[[int, dict[str, object]], None] | None = None,
+    strategy: str = "auto",
+    persist: StorageLevel | None = None,
 ) -> StreamingQuery:
     """Second job: the documents appended to ``table``, enriched batch by batch into ``sink``.
 
@@ -104,10 +107,11 @@ def enrich_documents(
     return enrich_stream(
         stream,
         lambda batch, observation: enrich_organisations(
-            batch, reference(), order, observation=observation
+            batch, reference(), order, strategy, observation
         ),
         sink,
         checkpoint,
         trigger_policy(trigger),
         on_batch,
+        persist,
     )

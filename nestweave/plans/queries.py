@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nestweave.operators.conform import conform
-from nestweave.operators.dimension import last_wins_dimension, lookup_table
+from nestweave.operators.dimension import buckets_for, last_wins_dimension, lookup_buckets
 from nestweave.operators.keys import (
     any_domain_match,
     distinct_keys,
@@ -375,11 +375,12 @@ def dimensions_from_wide(spark, sf_dir):
 
 @query("SELECT p_partkey AS id, p_name AS name FROM part")
 def lookup_map_entries(spark, sf_dir):
-    """The in-memory form of a dimension, unfolded again."""
+    """The maps of a dimension, one per hash bucket, unfolded again."""
     part = read_table(spark, sf_dir, "part")
-    table = lookup_table(part, "p_partkey", "p_name", buckets=64)
-    buckets = table.select(F.explode("lookup").alias("bucket"))
-    return buckets.select(F.explode("bucket").alias("id", "name"))
+    buckets = buckets_for(part.count())
+    table = lookup_buckets(part, "p_partkey", "p_name", buckets)
+    maps = table.select(F.map_from_entries("entries").alias("names"))
+    return maps.select(F.explode("names").alias("id", "name"))
 
 
 @query(

@@ -4,8 +4,10 @@ import json
 import uuid
 
 import pytest
+from pyspark import StorageLevel
 
 import org
+from nestweave import __main__ as command_line
 from nestweave.operators.metrics import row_count
 from nestweave.plans.organisation import (
     enrich_documents,
@@ -95,6 +97,45 @@ def test_replayed_batches_add_nothing(spark, inbox, tmp_path):
     assert rows_of(spark.read.parquet(out)) == first
 
 
+@pytest.mark.parametrize("persist", [None, StorageLevel.MEMORY_AND_DISK])
+def test_batch_written_but_not_committed_is_replayed(spark, inbox, tmp_path, persist):
+    """As after a crash between the write and the commit: same checkpoint, same rows."""
+    table, out = table_name(), str(tmp_path / "out")
+    import_all(spark, inbox, tmp_path, table)
+    write = replay_safe_folder(out)
+    failed, seen = [], []
+
+    def fails_after_second_write(df, batch_id):
+        write(df, batch_id)
+        if batch_id == 1 and not failed:
+            failed.append(batch_id)
+            raise OSError("executor lost")
+
+    kwargs = {"strategy": "document_maps", "persist": persist}
+    with pytest.raises(Exception, match="executor lost"):
+        enrich_all(spark, table, tmp_path, fails_after_second_write, **kwargs)
+    halfway = spark.read.parquet(out).count()
+    enrich_all(spark, table, tmp_path, fails_after_second_write, on_batch=lambda i, m: seen.append(i), **kwargs)
+    assert failed == [1] and seen[0] == 1 and halfway < len(org.DOCUMENTS)
+    batch = enrich_organisations(org.documents(spark), org.reference(spark), ["ord"])
+    assert rows_of(spark.read.parquet(out).drop(BATCH)) == rows_of(batch)
+
+
+def test_command_line(spark, inbox, tmp_path):
+    table, out = table_name(), table_name()
+    org.reference(spark).write.parquet(str(tmp_path / "reference"))
+    first = ["import", "--source", inbox, "--glob", "teams-*.json", "--format", "json",
+             "--table", table, "--path", str(tmp_path / "raw"), "--checkpoint", str(tmp_path / "c1")]
+    second = ["enrich", "--table", table, "--reference-path", str(tmp_path / "reference"),
+              "--order", "ord", "--output-table", out, "--checkpoint", str(tmp_path / "c2")]
+    for argv in (first, second):
+        command_line.run(spark, command_line.parser().parse_args(argv))
+    batch = enrich_organisations(org.documents(spark), org.reference(spark), ["ord"])
+    assert rows_of(spark.table(out)) == rows_of(batch)
+    with pytest.raises(SystemExit):
+        command_line.parser().parse_args(["enrich", "--table", table])
+
+
 def test_failed_lookup_fails_the_batch_and_is_repeated(spark, inbox, tmp_path):
     table, out = table_name(), str(tmp_path / "out")
     import_all(spark, inbox, tmp_path, table)
