@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from nestweave.operators.conform import conform
 from nestweave.operators.dimension import last_wins_dimension
+from nestweave.operators.keys import distinct_keys, key_pruned_reference
 from nestweave.operators.lookup import NOT_FOUND, Domain, enrich
 from nestweave.schemas import ENRICH_FIELD, ENRICHED_ARRAYS, document_schema, enriched_schema
 from nestweave.sources.documents import nested_file_stream, table_stream
@@ -30,20 +31,28 @@ def organisation_domains(
     order: Sequence[str],
     defaults: dict[str, str] | None = None,
     struct_fields: dict[str, str] | None = None,
+    docs: DataFrame | None = None,
 ) -> list[Domain]:
     """Teams, projects and departments, each with its own dimension cut from the wide reference.
 
     ``order`` names the reference columns that decide which of several names of an id is the
-    last. ``defaults`` and ``struct_fields`` are per array.
+    last. ``defaults`` and ``struct_fields`` are per array. With ``docs`` the reference is cut to
+    the ids they use before its names are chosen, which pays when a batch uses few of them.
     """
     domains = []
     for array, (id_field, id_column, name_column) in _LOOKUPS.items():
+        rows = reference
+        if docs is not None:
+            # The ids of a batch are few, so Spark sends them to the reference; no count of hot
+            # ids is needed for that.
+            ids = distinct_keys(docs, array, id_field, id_column)
+            rows = key_pruned_reference(reference, ids, id_column, hot_keys=None)
         domains.append(
             Domain(
                 array=array,
                 id_field=id_field,
                 inner=ENRICHED_ARRAYS[array],
-                dimension=last_wins_dimension(reference, id_column, name_column, order),
+                dimension=last_wins_dimension(rows, id_column, name_column, order),
                 dim_id=id_column,
                 dim_name=name_column,
                 default=(defaults or {}).get(array, NOT_FOUND),
@@ -60,9 +69,13 @@ def enrich_organisations(
     order: Sequence[str],
     strategy: str = "auto",
     observation: Observation | None = None,
+    prune: bool = False,
 ) -> DataFrame:
-    """Enriched documents in exactly the declared schema."""
-    domains = organisation_domains(reference, order)
+    """Enriched documents in exactly the declared schema.
+
+    ``prune`` cuts the reference to the ids of ``docs`` first.
+    """
+    domains = organisation_domains(reference, order, docs=docs if prune else None)
     return conform(enrich(docs, domains, strategy, observation), enriched_schema())
 
 
@@ -95,11 +108,12 @@ def enrich_documents(
     max_bytes: int | None = None,
     on_batch: Callable[[int, dict[str, object]], None] | None = None,
     strategy: str = "auto",
-    persist: StorageLevel | None = None,
+    persist: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
 ) -> StreamingQuery:
     """Second job: the documents appended to ``table``, enriched batch by batch into ``sink``.
 
-    ``reference`` is called for every micro-batch, so each sees the reference data of its time.
+    ``reference`` is called for every micro-batch, so each sees the reference data of its time, cut
+    to the ids of the batch. The batch is kept while its ids and then the documents are read.
     """
     if max_bytes is not None:
         max_files = None
@@ -107,7 +121,7 @@ def enrich_documents(
     return enrich_stream(
         stream,
         lambda batch, observation: enrich_organisations(
-            batch, reference(), order, strategy, observation
+            batch, reference(), order, strategy, observation, prune=True
         ),
         sink,
         checkpoint,

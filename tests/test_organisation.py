@@ -175,6 +175,14 @@ def test_pruned_dimensions_hold_only_ids_in_use(spark):
     assert ids == {"TEAM_DESIGN_1", "TEAM_AI_RESEARCH_6", "TEAM_O'BRIEN"}
 
 
+@BOTH
+def test_pruning_the_reference_changes_nothing(spark, strategy):
+    docs, ref = org.documents(spark), org.reference(spark)
+    plain = enrich_organisations(docs, ref, ["ord"], strategy)
+    pruned = enrich_organisations(docs, ref, ["ord"], strategy, prune=True)
+    assert sorted(map(str, pruned.collect())) == sorted(map(str, plain.collect()))
+
+
 def test_last_wins_is_deterministic(spark):
     ref = org.reference(spark)
     for shuffled in (ref, ref.orderBy(F.desc("ord")), ref.repartition(3)):
