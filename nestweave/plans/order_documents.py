@@ -58,55 +58,38 @@ def nest_rows(
 def group_items(items: str, field: str, inner: str) -> Column:
     """``items`` regrouped as one struct per value of ``field`` with the items that have it."""
     values = F.array_distinct(F.col(items).getField(field))
-    return F.transform(
-        values,
-        lambda v: F.struct(
-            v.alias(field), F.filter(items, lambda x: x.getField(field) == v).alias(inner)
-        ),
-    )
 
+    def group(value: Column) -> Column:
+        same = F.filter(items, lambda x: x.getField(field).eqNullSafe(value))
+        kept = F.transform(same, lambda x: F.struct(x["lineNumber"], x["quantity"]))
+        return F.struct(value.alias(field), kept.alias(inner))
 
-def _order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = read_table(spark, sf_dir, "lineitem")
-    item = F.struct(
-        F.col("l_linenumber").alias("lineNumber"),
-        F.col("l_quantity").alias("quantity"),
-        F.col("l_suppkey").alias("suppKey"),
-        F.col("l_partkey").alias("partKey"),
-    )
-    documents = nest_rows(
-        lines.select("l_orderkey", "l_linenumber", "l_quantity", "l_suppkey", "l_partkey"),
-        "l_orderkey",
-        item,
-        "lines",
-    )
-    return documents.select(
-        F.col("l_orderkey").alias("orderKey"),
-        group_items("lines", "suppKey", "lines").alias("suppliers"),
-        group_items("lines", "partKey", "lines").alias("parts"),
-        F.col("lines.quantity").alias("quantities"),
-    )
+    return F.transform(values, group)
 
 
-def _nation_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order documents with their lines under the nations of the suppliers."""
+def _order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = with_row_number(
         read_table(spark, sf_dir, "lineitem").select(
-            "l_orderkey", "l_linenumber", "l_quantity", "l_suppkey"
+            "l_orderkey", "l_linenumber", "l_quantity", "l_suppkey", "l_partkey"
         )
     )
     suppliers = read_table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"
     )
-    rows = spread_join(lines, suppliers, "l_suppkey", "left")
     item = F.struct(
         F.col("l_linenumber").alias("lineNumber"),
         F.col("l_quantity").alias("quantity"),
+        F.col("l_suppkey").alias("suppKey"),
+        F.col("l_partkey").alias("partKey"),
         F.col("s_nationkey").alias("nationKey"),
     )
+    rows = spread_join(lines, suppliers, "l_suppkey", "left")
     return nest_rows(rows, "l_orderkey", item, "lines").select(
         F.col("l_orderkey").alias("orderKey"),
+        group_items("lines", "suppKey", "lines").alias("suppliers"),
+        group_items("lines", "partKey", "lines").alias("parts"),
         group_items("lines", "nationKey", "lines").alias("nations"),
+        F.col("lines.quantity").alias("quantities"),
     )
 
 
@@ -123,7 +106,6 @@ def _customer_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _BUILDERS = {
     "orders": _order_documents,
-    "nations": _nation_documents,
     "customers": _customer_documents,
 }
 
