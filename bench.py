@@ -51,6 +51,8 @@ def timed_queries(spark: SparkSession) -> dict:
     orders = documents(spark, SF_DIR, "orders")
     customers = documents(spark, SF_DIR, "customers")
 
+    q.wide_reference(spark, SF_DIR)
+
     def lookup(docs, *makers, strategy="auto"):
         return lambda: run(enrich(docs, [m(spark, SF_DIR) for m in makers], strategy))
 

@@ -217,8 +217,11 @@ def _attach_maps(
 
     # Only id columns are read for the sets, and copies of a set collapse on the map side.
     keyed = docs.select(set_hash, *id_columns)
-    keys = {_SET: F.array(_SET), **{_helper("ids", i): F.col(_helper("ids", i)) for i in indexes}}
-    hot = hot_keys.find(keyed, keys) if hot_keys else dict.fromkeys(keys)
+    id_names = [_helper("ids", i) for i in indexes]
+    if hot_keys:
+        hot = hot_keys.find(keyed, single=[_SET], arrays=id_names)
+    else:
+        hot = dict.fromkeys([_SET, *id_names])
     sets = copy_to_pieces(keyed.distinct(), hot[_SET], _SET, _SET_PIECE)
     set_keys = [_SET] if hot[_SET] is None else [_SET, _SET_PIECE]
 

@@ -12,7 +12,7 @@ cut up together, which changes where their rows go and not what they join to.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,22 +34,27 @@ class HotKeys:
     floor: int = 100_000
     share: int = 100_000
 
-    def find(self, rows: DataFrame, keys: Mapping[str, Column]) -> dict[str, DataFrame | None]:
-        """Per name of ``keys`` its hot values as a table to broadcast, or None without any.
+    def find(
+        self, rows: DataFrame, single: Sequence[str] = (), arrays: Sequence[str] = ()
+    ) -> dict[str, DataFrame | None]:
+        """Per key column its hot values as a table to broadcast, or None without any.
 
-        ``keys`` gives every row an array of key values, each at most once. All names are counted
-        together: one pass for the total and, unless it is small, one that groups with map-side
-        combining. At most ``share`` hot values in all reach the driver.
+        ``single`` names columns that hold one key per row, ``arrays`` columns that hold an array
+        of distinct keys. All are counted together: one pass for the total and, unless it is
+        small, one that groups with map-side combining. At most ``share`` hot values in all reach
+        the driver.
         """
-        if len(keys) > 1 << _TAG_BITS:
-            raise ValueError("too many keys to count together")
-        total = F.lit(0).cast("long")
-        for values in keys.values():
-            total = total + F.coalesce(F.array_size(values), F.lit(0))
+        names = [*single, *arrays]
+        if len(names) > 1 << _TAG_BITS:
+            raise ValueError("too many key columns to count together")
+        total = F.lit(len(single)).cast("long")
+        for name in arrays:
+            total = total + F.coalesce(F.array_size(name), F.lit(0))
         n_rows, n_keys = rows.agg(F.count("*"), F.sum(total)).first()
         if n_rows <= self.floor:
-            return dict.fromkeys(keys)
-        hashes = [_tagged(values, tag) for tag, values in enumerate(keys.values())]
+            return dict.fromkeys(names)
+        hashes = [F.array(*[_tagged(F.col(name), names.index(name)) for name in single])]
+        hashes += [_all_tagged(name, names.index(name)) for name in arrays]
         load = F.col("n") * self.share
         hot = (
             rows.select(F.explode(F.concat(*hashes)).alias("hash"))
@@ -59,13 +64,13 @@ class HotKeys:
             .select("hash", F.ceil(load / n_keys).cast("int").alias("pieces"))
             .collect()
         )
-        spark = rows.sparkSession
+        by_tag: dict[int, list[tuple[int, int]]] = {}
+        for tagged, pieces in hot:
+            tag = tagged % (1 << _TAG_BITS)
+            by_tag.setdefault(tag, []).append((tagged - tag, pieces))
         return {
-            name: hot_table(
-                spark,
-                [(h - tag, n) for h, n in hot if h % (1 << _TAG_BITS) == tag],
-            )
-            for tag, name in enumerate(keys)
+            name: hot_table(rows.sparkSession, by_tag.get(tag, ()))
+            for tag, name in enumerate(names)
         }
 
 
@@ -74,8 +79,12 @@ def _hash(key: Column | str) -> Column:
     return F.shiftleft(F.xxhash64(key), _TAG_BITS)
 
 
-def _tagged(values: Column, tag: int) -> Column:
-    hashes = F.transform(values, lambda key: _hash(key).bitwiseOR(F.lit(tag).cast("long")))
+def _tagged(key: Column, tag: int) -> Column:
+    return _hash(key).bitwiseOR(F.lit(tag).cast("long"))
+
+
+def _all_tagged(name: str, tag: int) -> Column:
+    hashes = F.transform(name, lambda key: _tagged(key, tag))
     return F.coalesce(hashes, F.array().cast("array<bigint>"))
 
 
@@ -151,8 +160,7 @@ def spread_joins(
     Every table has one row per key. The hot keys of all columns are found first, together. ``how``
     is ``inner``, ``left`` or ``left_semi``. ``hot_keys=None`` is for keys known to be even.
     """
-    keys = {key: F.array(key) for key in rights}
-    hot = hot_keys.find(left, keys) if hot_keys else dict.fromkeys(keys)
+    hot = hot_keys.find(left, single=list(rights)) if hot_keys else dict.fromkeys(rights)
     for key, right in rights.items():
         left = join_pieces(left, right, key, how, hot[key], partition_salt())
     return left

@@ -2,8 +2,8 @@
 
 An order document holds the lines of one order three times over: under their suppliers, under
 their parts and under the nations of their suppliers. A customer document holds the orders of one
-customer. Documents are stored once per session in the shared folder, as the first hop of the
-pipeline would store them, and read from there.
+customer. Documents, and the wide reference that goes with them, are stored once per session in the
+shared folder, as the first hop of the pipeline would store them, and read from there.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nestweave.operators.spread import HotKeys, spread_join
+from nestweave.operators.spread import HotKeys, spread_join, spread_joins
 from nestweave.session import shared_folder
 
 # Longest document: an order with more lines becomes several documents with the same key.
@@ -104,9 +104,37 @@ def _customer_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nest_rows(orders, "o_custkey", item, "orders").withColumnRenamed("o_custkey", "custKey")
 
 
+def _wide_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A denormalised reference: one row per line with the ids and names of three domains."""
+    lines = read_table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey", "l_shipdate")
+    nations = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    suppliers = read_table(spark, sf_dir, "supplier").join(
+        nations, F.col("s_nationkey") == F.col("n_nationkey")
+    )
+    rights = {
+        "l_suppkey": suppliers.select(
+            F.col("s_suppkey").alias("l_suppkey"), "s_name", "n_nationkey", "n_name"
+        ),
+        "l_partkey": read_table(spark, sf_dir, "part").select(
+            F.col("p_partkey").alias("l_partkey"), "p_name"
+        ),
+    }
+    wide = spread_joins(lines, rights, "inner")
+    return wide.select(
+        F.col("l_suppkey").alias("s_suppkey"),
+        "s_name",
+        F.col("l_partkey").alias("p_partkey"),
+        "p_name",
+        "n_nationkey",
+        "n_name",
+        "l_shipdate",
+    )
+
+
 _BUILDERS = {
     "orders": _order_documents,
     "customers": _customer_documents,
+    "reference": _wide_reference,
 }
 
 

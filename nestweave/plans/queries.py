@@ -24,7 +24,7 @@ from nestweave.operators.keys import (
 )
 from nestweave.operators.lookup import Domain, enrich, lookup_sizes, prune_dimensions
 from nestweave.operators.metrics import row_count
-from nestweave.operators.spread import spread_join, spread_joins
+from nestweave.operators.spread import spread_join
 from nestweave.plans.order_documents import (
     documents,
     documents_folder,
@@ -293,30 +293,7 @@ JOIN nation ON s_nationkey = n_nationkey
 
 
 def wide_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A denormalised reference: one row per line with the ids and names of three domains."""
-    lines = read_table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey", "l_shipdate")
-    nations = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    suppliers = read_table(spark, sf_dir, "supplier").join(
-        nations, F.col("s_nationkey") == F.col("n_nationkey")
-    )
-    rights = {
-        "l_suppkey": suppliers.select(
-            F.col("s_suppkey").alias("l_suppkey"), "s_name", "n_nationkey", "n_name"
-        ),
-        "l_partkey": read_table(spark, sf_dir, "part").select(
-            F.col("p_partkey").alias("l_partkey"), "p_name"
-        ),
-    }
-    wide = spread_joins(lines, rights, "inner")
-    return wide.select(
-        F.col("l_suppkey").alias("s_suppkey"),
-        "s_name",
-        F.col("l_partkey").alias("p_partkey"),
-        "p_name",
-        "n_nationkey",
-        "n_name",
-        "l_shipdate",
-    )
+    return documents(spark, sf_dir, "reference")
 
 
 @query(

@@ -63,13 +63,15 @@ def test_spread_join_equals_a_plain_join(skewed, how, hot_keys):
 
 def test_hot_keys_are_few_and_cut_into_pieces(spark, skewed):
     left, *_ = skewed
-    keys = {"n": F.array("n"), "key": F.array("key")}
-    found = CUT.find(left, keys)
+    found = CUT.find(left, ["n", "key"])
     assert found["n"] is None
     pieces = [r[1] for r in found["key"].collect()]
     assert max(pieces) == 9  # a sixth of all 600 values, in pieces of a fiftieth
     assert len(pieces) <= CUT.share and sum(pieces) <= 2 * CUT.share
-    assert HotKeys().find(left, keys) == {"n": None, "key": None}
+    assert HotKeys().find(left, ["n", "key"]) == {"n": None, "key": None}
+    arrays = left.select("n", F.array("key").alias("key"))
+    again = CUT.find(arrays, ["n"], ["key"])["key"].collect()
+    assert sorted(again) == sorted(found["key"].collect())
     assert hot_table(spark, []) is None
 
 
