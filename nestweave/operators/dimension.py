@@ -83,7 +83,7 @@ def lookup_table(
 
 def buckets_for(rows: int) -> int:
     """A number of buckets that leaves about two entries in each."""
-    return max(1, rows // 2)
+    return min(max(1, rows // 2), 1 << 30)
 
 
 def bucket_of(key: Column, buckets: int) -> Column:

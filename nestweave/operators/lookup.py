@@ -97,7 +97,9 @@ def enrich(
 
     ``observation`` receives row, hit and miss counts while the result is written, without a
     pass of its own (:mod:`nestweave.operators.metrics`). Put filters on ``docs`` rather than on
-    the result, so that they reach the scan. ``hot_keys=None`` skips the count of hot ids.
+    the result, so that they reach the scan. ``docs`` is read more than once by
+    ``document_maps``: write rows to a table first if they would differ from one reading to the
+    next. ``hot_keys=None`` skips the count of hot ids.
     """
     _check(docs, domains)
     in_memory = _choose(domains, strategy)
@@ -149,8 +151,9 @@ def prune_dimensions(docs: DataFrame, domains: Sequence[Domain]) -> list[Domain]
     """
 
     def pruned(d: Domain) -> Domain:
-        ids = docs.select(F.explode(nested_ids(d.array, d.id_field)).alias(d.dim_id)).distinct()
-        return replace(d, dimension=d.dimension.join(ids, d.dim_id, "left_semi"))
+        ids = docs.select(F.explode(nested_ids(d.array, d.id_field)).alias("_id")).distinct()
+        kept = d.dimension.join(ids, column(d.dim_id) == F.col("_id"), "left_semi")
+        return replace(d, dimension=kept)
 
     return [pruned(d) for d in domains]
 

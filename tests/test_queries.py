@@ -18,9 +18,9 @@ def duck(sf_dir):
     connection.close()
 
 
-def ordered(pdf):
-    pdf = pdf[sorted(pdf.columns)]
-    return pdf.sort_values(list(pdf.columns)).reset_index(drop=True)
+def rows(table):
+    columns = sorted(table.column_names)
+    return sorted(map(repr, zip(*[table[c].to_pylist() for c in columns], strict=True)))
 
 
 def test_every_query_has_sql():
@@ -29,12 +29,11 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", sorted(spark_entry.queries()))
 def test_query_agrees_with_sql(spark, duck, sf_dir, name):
-    got = ordered(spark_entry.queries()[name](spark, sf_dir).toPandas())
-    want = ordered(duck.execute(spark_entry.oracle_sql()[name]).df())
-    assert list(got.columns) == list(want.columns)
-    assert len(got) == len(want) > 0
-    for column in got.columns:
-        assert got[column].tolist() == want[column].tolist(), column
+    got = spark_entry.queries()[name](spark, sf_dir).toArrow()
+    want = duck.sql(spark_entry.oracle_sql()[name]).to_arrow_table()
+    assert sorted(got.column_names) == sorted(want.column_names)
+    assert got.num_rows == want.num_rows > 0
+    assert rows(got) == rows(want)
 
 
 def test_entry(spark):

@@ -19,6 +19,7 @@ from nestweave.session import SETTINGS, shared_folder, shared_root
 from nestweave.sources.documents import folder_stream, nested_file_stream
 from nestweave.streaming.control import ProgressLog, run_to_completion, trigger_policy
 from nestweave.streaming.enrichment import BATCH, append_to_table, enrich_stream, replay_safe_folder
+from nestweave.streaming.ingest import append_stream_to_folder
 
 ONCE = trigger_policy("ONCE")
 
@@ -88,6 +89,30 @@ def test_two_hops_equal_the_batch(spark, inbox, tmp_path):
     assert spark.read.parquet(out).count() == len(org.DOCUMENTS) + 1
 
 
+def test_rewritten_and_deleted_source_files_are_left_alone(spark, tmp_path):
+    """The source is append-only: only files of new names are read, later changes are no error."""
+    inbox, out = tmp_path / "files", str(tmp_path / "out")
+    inbox.mkdir()
+
+    def put(name, n):
+        (inbox / name).write_text(json.dumps({"orgId": name, "orgName": str(n)}))
+
+    def drain():
+        stream = nested_file_stream(spark, str(inbox), document_schema(), "*.json", "json")
+        query = append_stream_to_folder(stream, out, str(tmp_path / "cp"), ONCE)
+        run_to_completion(query)
+        rows = spark.read.schema(document_schema()).parquet(out).collect()
+        return sorted((r.orgId, r.orgName) for r in rows)
+
+    put("a.json", 1)
+    put("b.json", 1)
+    assert drain() == [("a.json", "1"), ("b.json", "1")]
+    put("a.json", 2)
+    (inbox / "b.json").unlink()
+    put("c.json", 1)
+    assert drain() == [("a.json", "1"), ("b.json", "1"), ("c.json", "1")]
+
+
 def test_replayed_batches_add_nothing(spark, inbox, tmp_path):
     table, out = table_name(), str(tmp_path / "out")
     import_all(spark, inbox, tmp_path, table)
