@@ -7,12 +7,14 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# AQE sizes the reduce side and splits what is left of skew; sums over grouped ids are kept in
-# hash tables for more groups than the default before Spark turns to sorting.
+# AQE sizes the reduce side, splits what is left of skew, and joins by hash instead of sorting the
+# documents where every partition of the maps is small. Grouped ids stay in hash tables for more
+# groups than by default before Spark turns to sorting.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.session.timeZone": "UTC",
