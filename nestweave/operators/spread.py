@@ -29,7 +29,10 @@ _NULL_PIECES = 1 << 16
 
 @dataclass(frozen=True)
 class HotKeys:
-    """When a key counts as hot: above ``floor`` rows and above ``1 / share`` of all rows."""
+    """When a key counts as hot: above ``floor`` rows and above ``1 / share`` of all rows.
+
+    The same number of rows is the size of the pieces it is cut into.
+    """
 
     floor: int = 100_000
     share: int = 100_000
@@ -55,13 +58,13 @@ class HotKeys:
             return dict.fromkeys(names)
         hashes = [F.array(*[_tagged(F.col(name), names.index(name)) for name in single])]
         hashes += [_all_tagged(name, names.index(name)) for name in arrays]
-        load = F.col("n") * self.share
+        piece_rows = max(self.floor, n_keys // self.share)
         hot = (
             rows.select(F.explode(F.concat(*hashes)).alias("hash"))
             .groupBy("hash")
             .agg(F.count("*").alias("n"))
-            .where((F.col("n") > self.floor) & (load > n_keys))
-            .select("hash", F.ceil(load / n_keys).cast("int").alias("pieces"))
+            .where(F.col("n") > piece_rows)
+            .select("hash", F.ceil(F.col("n") / piece_rows).cast("int").alias("pieces"))
             .collect()
         )
         by_tag: dict[int, list[tuple[int, int]]] = {}

@@ -66,7 +66,7 @@ def test_hot_keys_are_few_and_cut_into_pieces(spark, skewed):
     found = CUT.find(left, ["n", "key"])
     assert found["n"] is None
     pieces = [r[1] for r in found["key"].collect()]
-    assert max(pieces) == 9  # a sixth of all 600 values, in pieces of a fiftieth
+    assert max(pieces) == 9  # 100 of 600 values, in pieces of a fiftieth: 12
     assert len(pieces) <= CUT.share and sum(pieces) <= 2 * CUT.share
     assert HotKeys().find(left, ["n", "key"]) == {"n": None, "key": None}
     arrays = left.select("n", F.array("key").alias("key"))
