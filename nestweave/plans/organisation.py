@@ -43,8 +43,9 @@ def organisation_domains(
     for array, (id_field, id_column, name_column) in _LOOKUPS.items():
         rows = reference
         if docs is not None:
-            # The ids of a batch are few, so Spark sends them to the reference; no count of hot
-            # ids is needed for that.
+            # The ids of a micro-batch are few, so Spark sends them to the reference and no hot
+            # reference id needs counting; for many ids AQE splits what is skewed. To cut names
+            # that were already chosen, one row per id, use prune_dimensions.
             ids = distinct_keys(docs, array, id_field, id_column)
             rows = key_pruned_reference(reference, ids, id_column, hot_keys=None)
         domains.append(
