@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,6 +92,11 @@ def components(pairs: DataFrame, a: str, b: str) -> DataFrame:
         )
 
 
+def each_row(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """The rows of a batch one by one, so that only one text at a time is a Python string."""
+    return (tuple(x.as_py() for x in row) for row in zip(*batch.columns, strict=True))
+
+
 def column_names(docs: DataFrame) -> Sequence[str]:
     """The columns of ``docs`` as expressions that also take names with dots."""
     return [f"`{c.replace('`', '``')}`" for c in docs.columns]

@@ -30,7 +30,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nestweave.llm.common import attach, texts, written
+from nestweave.llm.common import attach, each_row, small, texts, written
 
 WINDOW = 13
 ANCHOR = 4
@@ -113,7 +113,7 @@ def blocks(rows: DataFrame) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = TextHashes()
         for batch in batches:
-            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for doc_id, text in each_row(batch):
                 for anchor, start, place, windows in blocks_of(text.encode().split(), hashes):
                     ids = np.full(len(anchor), doc_id, dtype=np.int64)
                     yield pa.RecordBatch.from_arrays(
@@ -172,7 +172,8 @@ class _Windows:
 
 def _firsts(w: _Windows) -> tuple[np.ndarray, np.ndarray]:
     """An order that puts equal windows together, first document first; where each class begins."""
-    order = np.lexsort((w.start, w.doc, w.short, w.offset, w.anchor))
+    # The rows come in the order of their documents and places, which a stable sort keeps.
+    order = np.argsort(_mixed(w.anchor.view(np.uint64) + (w.offset.astype(np.uint64) << np.uint64(32) | w.short)), kind="stable")
     s = w.take(order)
     new = np.ones(len(order), dtype=bool)
     new[1:] = (s.anchor[1:] != s.anchor[:-1]) | (s.offset[1:] != s.offset[:-1]) | (s.short[1:] != s.short[:-1])
@@ -203,7 +204,14 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        w = _Windows.of(batch)
+        # Most anchors stand alone; only those that don't, and the last one, are unfolded.
+        anchor = batch.column("anchor").to_numpy()
+        again = anchor[1:] == anchor[:-1]
+        wanted = np.append(again, True) | np.append(False, again)
+        wanted |= anchor == anchor[-1]
+        if carried is not None:
+            wanted |= anchor == carried.anchor[0]
+        w = _Windows.of(batch.filter(pa.array(wanted)))
         if carried is not None:
             w = carried.then(w)
         order, new = _firsts(w)
@@ -293,12 +301,13 @@ def _outline(docs: DataFrame) -> DataFrame:
 
     def outline(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, every = batch.column("doc_id"), batch.column("text").to_pylist()
-            found = [x.encode().split() for x in every]
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([len(x) for x in found], pa.int64()), pa.array([hashlib.sha256(b" ".join(x)).digest() for x in found], pa.binary())],
-                names=["doc_id", "n_words", "digest"],
-            )
+            sizes, digests = [], []
+            for _, text in each_row(batch):
+                found = text.encode().split()
+                sizes.append(len(found))
+                digests.append(hashlib.sha256(b" ".join(found)).digest())
+            columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "digest"])
 
     return docs.mapInArrow(outline, "doc_id long, n_words long, digest binary")
 
@@ -316,7 +325,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     own = copies.where(F.col("doc_id") == F.col("first_id")).where(F.col("n_words") >= WINDOW)
     later = copies.where((F.col("doc_id") > F.col("first_id")) & (F.col("n_words") >= WINDOW)).select("doc_id")
     # Whole copies need no parse. Few or many, their ids decide only which rows are parsed.
-    single = rows.where("doc_id IS NOT NULL").join(later.distinct(), "doc_id", "left_anti")
+    single = rows.where("doc_id IS NOT NULL").join(small(later.distinct(), 8), "doc_id", "left_anti")
     factors = written(
         parse(single).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "n_words"))).alias("factors")),
         "factors",
@@ -327,7 +336,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc_id, text, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for doc_id, text, found in each_row(batch):
                 every = text.encode().split()
                 kept, at = [], 0
                 for f in found:

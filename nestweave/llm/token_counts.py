@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nestweave.llm.common import texts, written
+from nestweave.llm.common import each_row, texts, written
 from nestweave.llm.tokens import word_ids
 
 BLOCK_IDS = 1 << 15
@@ -138,7 +138,7 @@ def write_flat(docs: DataFrame, tokenizer: str, separator: int, block_ids: int =
         held, block, document, name = bytearray(), 0, 0, ""
         for batch in batches:
             rows: list[tuple] = []
-            for part, doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for part, doc_id, text in each_row(batch):
                 name = f"part-{part:06d}"
                 rows.append((name, document, doc_id, None, None))
                 document += 1
