@@ -15,7 +15,7 @@ import regex
 from tokenizers import Tokenizer
 
 #: Words kept per Python worker. Later words are tokenised each time they come.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 250_000
 #: Fixed value: the pieces that the tokenizer file names in its pre-tokenizer.
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: Letters whose case or composition does not depend on their neighbours.
