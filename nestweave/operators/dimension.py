@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from nestweave.functions.nested import column
+
 
 def last_wins_dimension(
     reference: DataFrame, id_column: str, name_column: str, order: Sequence[str]
@@ -15,31 +17,64 @@ def last_wins_dimension(
     """One row per id with the name of the last row in ``order``; ties go to the greater name.
 
     The aggregate combines on the map side, so an id with very many rows reaches the reducers as
-    one row per map task.
+    one row per map task. Its buffers are strings, so Spark sorts before it combines: cut a large
+    reference to the ids in use first (:func:`chosen_names`).
     """
-    rank = F.struct(*order, name_column)
+    rank = F.struct(*[column(c) for c in (*order, name_column)])
     return (
-        reference.where(F.col(id_column).isNotNull())
-        .groupBy(id_column)
-        .agg(F.max_by(name_column, rank).alias(name_column))
+        reference.where(column(id_column).isNotNull())
+        .groupBy(column(id_column).alias(id_column))
+        .agg(F.max_by(column(name_column), rank).alias(name_column))
     )
 
 
-def dimension_sizes(dimensions: Sequence[tuple[DataFrame, str, str]]) -> list[tuple[int, int]]:
-    """(rows, bytes of ids and names) of every (dimension, id, name), in one Spark job."""
+def chosen_names(
+    reference: DataFrame,
+    domains: Mapping[str, tuple[str, str]],
+    order: Sequence[str],
+    keys: DataFrame,
+) -> DataFrame:
+    """(domain, id, name) of the ids in ``keys`` (domain, id), chosen as by last_wins_dimension.
+
+    ``domains`` maps a domain to its id and name columns in the wide ``reference``, which is read
+    once for all of them: cut by one semi-join, and its names chosen in one aggregate.
+    """
+    entries = [
+        F.struct(F.lit(d).alias("domain"), column(i).alias("id"), column(n).alias("name"))
+        for d, (i, n) in domains.items()
+    ]
+    ranks = F.struct(*[column(c).alias(f"order_{i}") for i, c in enumerate(order)])
+    rows = reference.select(ranks.alias("rank"), F.explode(F.array(*entries)).alias("entry"))
+    kept = rows.select("rank", "entry.*").join(keys, ["domain", "id"], "left_semi")
+    last = F.max_by("name", F.struct("rank", "name"))
+    return kept.groupBy("domain", "id").agg(last.alias("name"))
+
+
+def dimension_sizes(
+    dimensions: Sequence[tuple[DataFrame, str, str]],
+) -> list[tuple[int, int, int]]:
+    """(rows, bytes, ids with several names) of every (dimension, id, name), in one Spark job."""
 
     def size(index: int, dimension: DataFrame, id_column: str, name_column: str) -> DataFrame:
         width = F.coalesce(F.octet_length(F.col(id_column).cast("string")), F.lit(0)) + F.coalesce(
             F.octet_length(F.col(name_column).cast("string")), F.lit(0)
         )
-        return dimension.agg(
+        named = F.count(name_column)
+        differs = (F.min(name_column) < F.max(name_column)) | ((named > 0) & (named < F.count("*")))
+        by_id = dimension.groupBy(id_column).agg(
+            F.count("*").alias("n"),
+            F.sum(width).alias("bytes"),
+            F.coalesce(differs, F.lit(False)).cast("int").alias("differs"),
+        )
+        return by_id.agg(
             F.lit(index).alias("dimension"),
-            F.count("*").alias("n_rows"),
-            F.coalesce(F.sum(width), F.lit(0)).alias("n_bytes"),
+            F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+            F.coalesce(F.sum("bytes"), F.lit(0)).alias("n_bytes"),
+            F.coalesce(F.sum("differs"), F.lit(0)).alias("n_conflicts"),
         )
 
     sizes = reduce(DataFrame.union, [size(i, *d) for i, d in enumerate(dimensions)])
-    return [(r.n_rows, r.n_bytes) for r in sorted(sizes.collect(), key=lambda r: r.dimension)]
+    return [(r.n_rows, r.n_bytes, r.n_conflicts) for r in sorted(sizes.collect(), key=lambda r: r.dimension)]
 
 
 def lookup_buckets(

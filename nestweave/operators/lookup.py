@@ -60,7 +60,7 @@ _SET_PIECE = "_id_set_piece"
 class Domain:
     """One lookup: ``array[].id_field`` in ``dimension``, written to ``array[].inner[].out_field``.
 
-    ``dimension`` has one row per ``dim_id``. With ``struct_field`` the name is written as a
+    ``dimension`` has one name per ``dim_id``; more are an error, whatever the strategy. With ``struct_field`` the name is written as a
     struct with that one field instead of a plain string.
     """
 
@@ -175,11 +175,18 @@ def _choose(domains: Sequence[Domain], strategy: str) -> dict[int, int]:
     """Index → number of buckets of the domains to look up in memory."""
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
-    if strategy == "document_maps" or not domains:
+    if not domains:
         return {}
     sizes = dimension_sizes([(d.entries(), "id", "name") for d in domains])
     chosen = {}
-    for i, (rows, size) in enumerate(sizes):
+    for i, (rows, size, conflicts) in enumerate(sizes):
+        if conflicts:
+            raise ValueError(
+                f"dimension of {domains[i].array} has several names for {conflicts} ids: "
+                "choose one with last_wins_dimension"
+            )
+        if strategy == "document_maps":
+            continue
         if rows <= IN_MEMORY_ROWS and size <= IN_MEMORY_BYTES:
             chosen[i] = buckets_for(rows)
         elif strategy == "in_memory":

@@ -23,6 +23,9 @@ _HOT = "_hot_hash"
 _PIECES = "_pieces"
 _TAG_BITS = 6
 
+# Buckets of hashes that are counted before keys are; those above a piece are fewer than share.
+BUCKETS = 1 << 20
+
 # Pieces over which rows with a null key are spread; they match nothing.
 _NULL_PIECES = 1 << 16
 
@@ -44,7 +47,7 @@ class HotKeys:
 
         ``single`` names columns that hold one key per row, ``arrays`` columns that hold an array
         of distinct keys. All are counted together: one pass for the total and, unless it is
-        small, one that groups with map-side combining. At most ``share`` hot values in all reach
+        small, one that counts buckets of hashes and, if any is full, one over the keys in those. At most ``share`` hot values in all reach
         the driver.
         """
         names = [*single, *arrays]
@@ -59,8 +62,18 @@ class HotKeys:
         hashes = [F.array(*[_tagged(F.col(name), names.index(name)) for name in single])]
         hashes += [_all_tagged(name, names.index(name)) for name in arrays]
         piece_rows = max(self.floor, n_keys // self.share)
+        every = rows.select(F.explode(F.concat(*hashes)).alias("hash"))
+        # No key is hot in a bucket that isn't. A map task has at most BUCKETS counts, so this
+        # moves little also where keys are nearly unique, and most inputs end here.
+        bucket = F.pmod("hash", F.lit(BUCKETS)).alias("bucket")
+        full = every.groupBy(bucket).agg(F.count("*").alias("n")).where(F.col("n") > piece_rows)
+        buckets = [(r.bucket,) for r in full.collect()]
+        if not buckets:
+            return dict.fromkeys(names)
+        few = F.broadcast(rows.sparkSession.createDataFrame(buckets, "bucket long"))
         hot = (
-            rows.select(F.explode(F.concat(*hashes)).alias("hash"))
+            every.withColumn("bucket", bucket)
+            .join(few, "bucket", "left_semi")
             .groupBy("hash")
             .agg(F.count("*").alias("n"))
             .where(F.col("n") > piece_rows)

@@ -40,7 +40,7 @@ def nest_rows(
 
     Keys with more rows are counted first and cut into several documents, so no array grows with
     the data. ``rows`` comes straight from a scan: the row numbers that cut a key up are then the
-    same when a task is retried. Rows that come from further away bring a ``_row`` of their own.
+    same when a task is retried; hashed, they spread a key evenly however it recurs. Rows that come from further away bring a ``_row`` of their own.
     """
     numbered = rows if "_row" in rows.columns else with_row_number(rows)
     long = (
@@ -50,7 +50,7 @@ def nest_rows(
         .select(key, F.ceil(F.col("_n") / max_rows).alias("_parts"))
     )
     cut = spread_join(numbered, long, key, "left", hot_keys).withColumn(
-        "_part", F.pmod(F.col("_row"), F.coalesce(F.col("_parts"), F.lit(1)))
+        "_part", F.pmod(F.xxhash64("_row"), F.coalesce(F.col("_parts"), F.lit(1)))
     )
     return cut.groupBy(key, "_part").agg(F.collect_list(item).alias(alias)).drop("_part")
 

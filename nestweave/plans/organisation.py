@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from nestweave.operators.conform import conform
-from nestweave.operators.dimension import last_wins_dimension
-from nestweave.operators.keys import distinct_keys, key_pruned_reference
+from nestweave.functions.nested import nested_ids
+from nestweave.operators.dimension import chosen_names, last_wins_dimension
 from nestweave.operators.lookup import NOT_FOUND, Domain, enrich
 from nestweave.schemas import ENRICH_FIELD, ENRICHED_ARRAYS, document_schema, enriched_schema
 from nestweave.sources.documents import nested_file_stream, table_stream
@@ -31,29 +32,27 @@ def organisation_domains(
     order: Sequence[str],
     defaults: dict[str, str] | None = None,
     struct_fields: dict[str, str] | None = None,
-    docs: DataFrame | None = None,
+    names: DataFrame | None = None,
 ) -> list[Domain]:
     """Teams, projects and departments, each with its own dimension cut from the wide reference.
 
     ``order`` names the reference columns that decide which of several names of an id is the
-    last. ``defaults`` and ``struct_fields`` are per array. With ``docs`` the reference is cut to
-    the ids they use before its names are chosen, which pays when a batch uses few of them.
+    last. ``defaults`` and ``struct_fields`` are per array. With ``names`` (:func:`batch_names`) the
+    names were chosen before and the reference isn't read.
     """
     domains = []
     for array, (id_field, id_column, name_column) in _LOOKUPS.items():
-        rows = reference
-        if docs is not None:
-            # The ids of a micro-batch are few, so Spark sends them to the reference and no hot
-            # reference id needs counting; for many ids AQE splits what is skewed. To cut names
-            # that were already chosen, one row per id, use prune_dimensions.
-            ids = distinct_keys(docs, array, id_field, id_column)
-            rows = key_pruned_reference(reference, ids, id_column, hot_keys=None)
+        if names is None:
+            dimension = last_wins_dimension(reference, id_column, name_column, order)
+        else:
+            own = names.where(F.col("domain") == array)
+            dimension = own.select(F.col("id").alias(id_column), F.col("name").alias(name_column))
         domains.append(
             Domain(
                 array=array,
                 id_field=id_field,
                 inner=ENRICHED_ARRAYS[array],
-                dimension=last_wins_dimension(rows, id_column, name_column, order),
+                dimension=dimension,
                 dim_id=id_column,
                 dim_name=name_column,
                 default=(defaults or {}).get(array, NOT_FOUND),
@@ -64,6 +63,20 @@ def organisation_domains(
     return domains
 
 
+def batch_names(docs: DataFrame, reference: DataFrame, order: Sequence[str]) -> DataFrame:
+    """(domain, id, name) of all ids that ``docs`` use, from one scan of the reference."""
+
+    def tagged(array: str, id_field: str):
+        ids = nested_ids(array, id_field)
+        return F.transform(ids, lambda x: F.struct(F.lit(array).alias("domain"), x.alias("id")))
+
+    every = F.array(*[tagged(array, id_field) for array, (id_field, _, _) in _LOOKUPS.items()])
+    ids = docs.select(F.explode(F.flatten(F.filter(every, lambda x: x.isNotNull()))).alias("key"))
+    keys = ids.select("key.*").where("id IS NOT NULL").distinct()
+    columns = {array: (i, n) for array, (_, i, n) in _LOOKUPS.items()}
+    return chosen_names(reference, columns, order, keys)
+
+
 def enrich_organisations(
     docs: DataFrame,
     reference: DataFrame,
@@ -71,12 +84,16 @@ def enrich_organisations(
     strategy: str = "auto",
     observation: Observation | None = None,
     prune: bool = False,
+    names: DataFrame | None = None,
 ) -> DataFrame:
     """Enriched documents in exactly the declared schema.
 
-    ``prune`` cuts the reference to the ids of ``docs`` first.
+    ``prune`` cuts the reference to the ids of ``docs`` first. ``names`` are what it was cut to, for
+    a caller that keeps them: they are read by the job that measures them and by the lookup.
     """
-    domains = organisation_domains(reference, order, docs=docs if prune else None)
+    if names is None and prune:
+        names = batch_names(docs, reference, order)
+    domains = organisation_domains(reference, order, names=names)
     return conform(enrich(docs, domains, strategy, observation), enriched_schema())
 
 
@@ -89,11 +106,15 @@ def import_documents(
     trigger: str = "ONCE",
     file_format: str = "avro",
     path: str | None = None,
+    table_format: str = "parquet",
+    source_options: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """First job: document files whose names match ``glob``, appended to ``table``."""
-    stream = nested_file_stream(spark, source, document_schema(), glob, file_format)
+    stream = nested_file_stream(
+        spark, source, document_schema(), glob, file_format, **(source_options or {})
+    )
     return append_stream_to_table(
-        stream, table, checkpoint, trigger_policy(trigger), path=path
+        stream, table, checkpoint, trigger_policy(trigger), table_format, path
     )
 
 
@@ -105,26 +126,43 @@ def enrich_documents(
     sink: Sink,
     checkpoint: str,
     trigger: str = "ONCE",
-    max_files: int | None = 1,
+    max_files: int | None = None,
     max_bytes: int | None = None,
     on_batch: Callable[[int, dict[str, object]], None] | None = None,
     strategy: str = "auto",
     persist: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
+    source_options: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Second job: the documents appended to ``table``, enriched batch by batch into ``sink``.
 
     ``reference`` is called for every micro-batch, so each sees the reference data of its time, cut
-    to the ids of the batch. The batch is kept while its ids and then the documents are read.
+    to the ids of the batch by one scan for all domains. The batch and the names are kept while the
+    batch is written. ``max_files`` and ``max_bytes`` exclude each other; a batch is one file unless
+    one of them is given, and ``max_files=0`` is no limit.
     """
-    if max_bytes is not None:
-        max_files = None
-    stream = table_stream(spark, table, max_files, max_bytes)
+    if max_files is None and max_bytes is None:
+        max_files = 1
+    max_files = None if max_files == 0 else max_files
+    stream = table_stream(spark, table, max_files, max_bytes, **(source_options or {}))
+    kept: list[DataFrame] = []
+
+    def transform(batch: DataFrame, observation: Observation) -> DataFrame:
+        rows = reference()
+        names = batch_names(batch, rows, order).persist(StorageLevel.MEMORY_AND_DISK)
+        kept.append(names)
+        return enrich_organisations(batch, rows, order, strategy, observation, names=names)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        try:
+            sink(batch, batch_id)
+        finally:
+            while kept:
+                kept.pop().unpersist()
+
     return enrich_stream(
         stream,
-        lambda batch, observation: enrich_organisations(
-            batch, reference(), order, strategy, observation, prune=True
-        ),
-        sink,
+        transform,
+        write,
         checkpoint,
         trigger_policy(trigger),
         on_batch,

@@ -7,6 +7,7 @@ scalars, so they compare without regard to the order of rows or array elements.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -38,9 +39,11 @@ from nestweave.sources.reference import reference_snapshot
 from nestweave.streaming.control import run_to_completion, trigger_policy
 from nestweave.streaming.enrichment import (
     BATCH,
+    Sink,
     append_to_table,
     enrich_stream,
     replay_safe_folder,
+    replay_safe_table,
 )
 from nestweave.streaming.ingest import append_stream_to_folder, append_stream_to_table
 
@@ -184,7 +187,8 @@ def nested_lookup_order_flag(spark, sf_dir):
 
 
 @query(ORDER_FLAG_SQL)
-def nested_lookup_order_flag_in_memory(spark, sf_dir):
+def nested_lookup_order_flag_auto(spark, sf_dir):
+    """In memory or by document maps, as the dimension is measured to be."""
     docs = documents(spark, sf_dir, "customers")
     return customer_orders(enrich(docs, [order_flag_domain(spark, sf_dir)]))
 
@@ -498,8 +502,12 @@ def _drain() -> dict[str, object]:
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = read_table(spark, sf_dir, "events").schema
-    return nested_file_stream(spark, sf_dir, schema, "events.parquet", "parquet")
+    """The table as a stream, whether it is one file or a folder of them."""
+    table = read_table(spark, sf_dir, "events")
+    name = table.select("_metadata.file_name").first()
+    if name is not None and name.file_name == "events.parquet":
+        return nested_file_stream(spark, sf_dir, table.schema, "events.parquet", "parquet")
+    return folder_stream(spark, f"{sf_dir}/events.parquet", table.schema)
 
 
 def _ingest_events(spark: SparkSession, sf_dir: str) -> str:
@@ -533,31 +541,60 @@ def stream_table_append(spark, sf_dir):
     return spark.read.parquet(out).select(_EVENT_COLUMNS)
 
 
-@query(EVENTS_SQL)
+@query(ORDER_FLAG_SQL)
 def stream_two_hop(spark, sf_dir):
-    raw = _ingest_events(spark, sf_dir)
-    stream = folder_stream(spark, raw, spark.read.parquet(raw).schema, max_bytes=1 << 20)
-    out = shared_folder(spark, "second-hop")
-    checkpoint = shared_folder(spark, "second-hop-checkpoint")
-    query = enrich_stream(
-        stream, lambda batch, _: batch, replay_safe_folder(out), checkpoint, _drain()
-    )
-    run_to_completion(query)
-    return spark.read.parquet(out).select(_EVENT_COLUMNS)
+    """Raw customer documents into a folder by one stream, and out of it enriched by another."""
+    source = documents_folder(spark, sf_dir, "customers")
+    raw, out = shared_folder(spark, "first-hop"), shared_folder(spark, "second-hop")
+    stream = folder_stream(spark, source, spark.read.parquet(source).schema)
+    checkpoint = shared_folder(spark, "first-hop-checkpoint")
+    run_to_completion(append_stream_to_folder(stream, raw, checkpoint, _drain()))
+    _enrich_customers(spark, sf_dir, out, raw=raw)
+    return customer_orders(spark.read.parquet(out).drop(BATCH))
+
+
+@query(ORDER_FLAG_SQL)
+def stream_resume(spark, sf_dir):
+    """The same stream again on its own checkpoint: it finds nothing new and adds nothing."""
+    out, checkpoint = shared_folder(spark, "enriched"), shared_folder(spark, "checkpoint")
+    _enrich_customers(spark, sf_dir, out, checkpoint=checkpoint)
+    _enrich_customers(spark, sf_dir, out, checkpoint=checkpoint)
+    return customer_orders(spark.read.parquet(out).drop(BATCH))
+
+
+@query(ORDER_FLAG_SQL)
+def stream_replay_table(spark, sf_dir):
+    """Every batch twice into a table that keeps a partition per batch."""
+    out = shared_folder(spark, "enriched_table")
+    table = out.rsplit("/", 1)[1].replace("-", "_")
+    sink = replay_safe_table(table)
+    _enrich_customers(spark, sf_dir, out, sink=sink)
+    _enrich_customers(spark, sf_dir, out, sink=sink)
+    return customer_orders(spark.table(table).drop(BATCH))
 
 
 def _enrich_customers(
-    spark: SparkSession, sf_dir: str, out: str, on_batch=None, max_files: int | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    out: str,
+    on_batch=None,
+    max_files: int | None = None,
+    raw: str | None = None,
+    sink: Sink | None = None,
+    checkpoint: str | None = None,
 ) -> None:
-    raw = documents_folder(spark, sf_dir, "customers")
+    raw = raw or documents_folder(spark, sf_dir, "customers")
     stream = folder_stream(spark, raw, spark.read.parquet(raw).schema, max_files=max_files)
+    # The dimension is made once for all micro-batches.
+    domain = order_flag_domain(spark, sf_dir)
+    flags = shared_folder(spark, "order-flags")
+    domain.dimension.write.parquet(flags)
+    domain = replace(domain, dimension=spark.read.parquet(flags))
     query = enrich_stream(
         stream,
-        lambda batch, observation: enrich(
-            batch, [order_flag_domain(spark, sf_dir)], observation=observation
-        ),
-        replay_safe_folder(out),
-        shared_folder(spark, "enrich-checkpoint"),
+        lambda batch, observation: enrich(batch, [domain], observation=observation),
+        sink or replay_safe_folder(out),
+        checkpoint or shared_folder(spark, "enrich-checkpoint"),
         _drain(),
         on_batch,
     )

@@ -39,7 +39,8 @@ def reference_by_jdbc(
 ) -> DataFrame:
     """Reads ``columns`` of a database table; Spark pushes the projection and the keys down.
 
-    ``keys`` is for a short list known to the caller. To cut a large table to the ids of a batch,
+    ``keys`` is for a list known to the caller: a short one is sent to the database, a longer one is
+    joined after the read. To cut a large table to the ids of a batch,
     read it with a partition column, which splits the read over the executors, and use
     :func:`nestweave.operators.keys.key_pruned_reference`.
     """
@@ -62,7 +63,9 @@ def reference_by_jdbc(
     if keys is not None:
         if key is None:
             raise ValueError("keys need the name of their column")
-        if len(keys) > MAX_PUSHED_KEYS:
-            raise ValueError(f"more than {MAX_PUSHED_KEYS} keys: join with key_pruned_reference")
-        rows = rows.where(F.col(key).isin(list(keys)))
+        if len(keys) <= MAX_PUSHED_KEYS:
+            rows = rows.where(F.col(key).isin(list(keys)))
+        else:
+            wanted = spark.createDataFrame([(k,) for k in keys], rows.select(key).schema)
+            rows = rows.join(wanted, key, "left_semi")
     return rows.select(*columns)

@@ -196,8 +196,6 @@ def test_jdbc_reader_options(spark):
         "numPartitions": "2",
         "driver": "d",
     }
-    with pytest.raises(ValueError, match="1000 keys"):
-        reference_by_jdbc(session, "jdbc:x", "ref", ["teamId"], "teamId", ["k"] * 1001)
     with pytest.raises(ValueError, match="lower_bound"):
         reference_by_jdbc(session, "jdbc:x", "ref", ["teamId"], partition_column="ord")
     with pytest.raises(ValueError, match="name of their column"):
