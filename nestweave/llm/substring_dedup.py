@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nestweave.llm.common import attach, each_row, small, texts, written
@@ -36,10 +36,12 @@ WINDOW = 13
 ANCHOR = 4
 #: Windows hashed at a time, which bounds the memory that a very long text takes.
 SEGMENT = 1 << 16
-#: An anchor is split when it holds more than this share of a task's blocks (see ``_hot_anchors``).
+#: Anchors that are split, at most: those with the most blocks.
 HOT_BLOCKS = 2000
 #: One in so many documents is looked at to find the anchors to split; all of them are joined.
 HOT_SAMPLE = 16
+#: From so many blocks of the sampled documents on, an anchor is split.
+HOT_COUNT = 200
 #: Factors above this many bytes meet their texts by a shuffle instead of a broadcast.
 BROADCAST_BYTES = 16 << 20
 
@@ -229,7 +231,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _hot_anchors(rows: DataFrame) -> list[int]:
     """Anchors that may hold many blocks, fewer than HOT_BLOCKS; they only decide how blocks are dealt out."""
     some = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(HOT_SAMPLE)) == 0)
-    counts = blocks(some).groupBy("anchor").count().where(F.col("count") > 200)
+    counts = blocks(some).groupBy("anchor").count().where(F.col("count") > HOT_COUNT)
     top = counts.orderBy(F.desc("count"), "anchor").limit(HOT_BLOCKS).collect()
     return [r.anchor for r in top]
 
@@ -245,22 +247,34 @@ def matches(rows: DataFrame) -> DataFrame:
     if not hot:
         return found
 
-    # Equal windows of hot anchors combine on the map side and meet their first place by a join
-    # on the window, which Spark splits where it is skewed.
-    def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            w = _Windows.of(batch)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(w.anchor), pa.array(w.offset.astype(np.int64) << 32 | w.short), pa.array(w.doc), pa.array(w.start.astype(np.int32))],
-                names=["anchor", "window", "doc_id", "start"],
-            )
-
-    wide = parts.join(few, "anchor").mapInArrow(flat, "anchor long, window long, doc_id long, start int")
+    # Equal blocks of hot anchors combine on the map side. A later one matches the first as a whole,
+    # and only the windows of first blocks are compared one by one, again with their first place.
+    block = ["anchor", "place", "windows"]
+    dense = written(parts.join(few, "anchor"), "hot-blocks")
+    places = dense.groupBy(*block).agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n"))
+    places = written(places.withColumn("block", F.xxhash64(*block)), "hot-places")
+    again = dense.withColumn("block", F.xxhash64(*block)).join(places.where("n > 1"), [*block, "block"])
+    whole = again.where("doc_id > first.doc_id").select(
+        "doc_id", "start", (F.octet_length("windows") / 4).cast("int").alias("n"), *_first()
+    )
+    single = places.select("anchor", "first.doc_id", "first.start", "place", "windows")
+    wide = written(single.mapInArrow(_flat, "anchor long, window long, doc_id long, start int"), "hot-windows")
     firsts = wide.groupBy("anchor", "window").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n"))
-    firsts = firsts.where("n > 1").drop("n")
-    hits = wide.join(firsts, ["anchor", "window"]).where("doc_id > first.doc_id")
-    single = hits.select("doc_id", "start", F.lit(1).alias("n"), F.col("first.doc_id").alias("ref_doc"), F.col("first.start").alias("ref_start"))
-    return found.unionByName(single)
+    hits = wide.join(firsts.where("n > 1").drop("n"), ["anchor", "window"]).where("doc_id > first.doc_id")
+    one = hits.select("doc_id", "start", F.lit(1).alias("n"), *_first())
+    return found.unionByName(whole).unionByName(one)
+
+
+def _first() -> list[Column]:
+    return [F.col("first.doc_id").alias("ref_doc"), F.col("first.start").alias("ref_start")]
+
+
+def _flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per window of every block, named by its place to the anchor and its hash."""
+    for batch in batches:
+        w = _Windows.of(batch)
+        columns = [pa.array(w.anchor), pa.array(w.offset.astype(np.int64) << 32 | w.short), pa.array(w.doc), pa.array(w.start.astype(np.int32))]
+        yield pa.RecordBatch.from_arrays(columns, names=["anchor", "window", "doc_id", "start"])
 
 
 def parse(docs: DataFrame) -> DataFrame:
