@@ -82,4 +82,12 @@ PAGES: list[Page] = [
         (True, f"<article><h1>{_TITLE}</h1><p><b>{_LONG}<br><p>{_MORE}</p><p>No.</p><ul><li><a href=/a>The mill</a></li></ul></article>", False),
         (False, '<div class="alert">Storm warning for the coast until the evening, please stay at home if you can do so.</div>', False),
     ],
+    [
+        (True, f"<article><h1>{_TITLE}</h1><p>{_LONG}</p><p>Then silence.</p>", False),
+        (False, f'<aside><p>{_MORE}</p><p>See also</p></aside><form><label>Your mail</label><p>{_SHORT}</p></form>', False),
+        (True, f"<p>{_THIRD}</p>", False),
+        (False, '<div class="ad">Boots that keep you dry, now at half the price in our shop by the bridge.</div>', False),
+        (True, f"<p>{_SHORT}</p>", False),
+        (False, f'<div class="comments"><p>{_MORE}</p><p>Agreed.</p></div><footer>Filed under: floods</footer></article>', False),
+    ],
 ]

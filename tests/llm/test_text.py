@@ -1,0 +1,211 @@
+"""Extraction, pseudonyms, toxicity, tokens, packing and the pipeline."""
+
+from __future__ import annotations
+
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from nestweave.llm import feistel, html_extract, packing, token_counts, toxicity
+from nestweave.llm.queries import SEPARATOR, TOKENIZER
+
+TREE = html_extract.trained_tree()
+
+
+def test_tree_fits_its_table():
+    rows, keep = html_extract.labelled_rows()
+    assert (TREE.decide(rows) == keep).mean() > 0.95
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("", ""),
+        ("<script>var x='<p>no</p>'</script>", ""),
+        ("<nav><a href=/>Home</a></nav><article><h1>A  b</h1><p>x &amp; y&lt;z<br>w</p></article><footer>f</footer>", "A b\n\nx & y<z w"),
+        ("<article><p>one<p><b>two</article><div class='comments'><p>me too, I say, me too</p></div>", "one\n\ntwo"),
+        ("<article><!-- no --><p>one</p><aside>no</aside><form>no</form><p>&am", "one\n\n&am"),
+        ("<main><p>" + "word " * 100_000 + "</p></main>", ("word " * 100_000).strip()),
+    ],
+)
+def test_html_pages(page, text):
+    assert html_extract.extract(page, TREE)[0] == text
+
+
+def test_html_table(spark):
+    rows = [(1, "u", "<article>a</article>", "x"), (None, None, None, None), (1, "u", "<article>a</article>", "x")]
+    got = html_extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string, text string"))
+    assert sorted(map(str, got.drop("n_blocks").collect())) == sorted(
+        ["Row(page_id=1, url='u', text='a', n_chars=1)"] * 2 + ["Row(page_id=None, url=None, text='', n_chars=0)"]
+    )
+
+
+def test_pseudonyms(spark, none):
+    text = (
+        "Card 4111 1111 1111 1111, again 4111111111111111; bad 4111111111111112. Tel +1 (415) 555-2671 or 415-555-2671. "
+        "IP 10.0.255.1 not 10.0.256.1, on 2024-02-29 and 29.02.2024 but not 2023-02-29; ssn 123-45-6789, 000-12-3456; "
+        "mail ann.b7@mail.example.com!"
+    )
+    rows = [(1, text, 5), (2, "x 4111111111111111 y", 5), (3, None, 5), (4, "", 5), (5, "a b " * 50_000, 5)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, n_card int")
+    out = {r.doc_id: r for r in feistel.pseudonymise(frame, "key").collect()}
+    r = out[1]
+    assert (r.n_card, r.n_phone, r.n_ip, r.n_date, r.n_ssn, r.n_email) == (2, 2, 1, 2, 1, 1)
+    assert len(r.text) >= len(text) - 8 and "4111 1111" not in r.text and "ann.b7@" not in r.text
+    for same in ("4111111111111112", "10.0.256.1", "2023-02-29", "000-12-3456", "@mail.example.com!"):
+        assert same in r.text
+    linked = out[2].text.split()[1]
+    assert linked in r.text and sum(int(x) * (1 + i % 2) - 9 * (i % 2 and int(x) > 4) for i, x in enumerate(linked[::-1])) % 10 == 0
+    assert (out[3].text, out[4].text, out[5].text) == ("", "", rows[4][1])
+    assert feistel.pseudonymise(none, "key").count() == 0
+    assert "Python" not in feistel.pseudonymise(frame, "key")._jdf.queryExecution().toString()
+
+
+def test_pseudonyms_permute(spark):
+    days = spark.sql("SELECT cast(date_add(date'1999-12-01', cast(id AS int)) AS string) AS v FROM range(3000)")
+    new = days.select(feistel.pseudonym(F.col("v"), "k").alias("p")).select("p.*").collect()
+    assert {r.kind for r in new} == {"date"} and len({r.new for r in new}) == 3000
+    pairs = spark.range(35).select(feistel.permuted(F.floor(F.col("id") / 7), F.col("id") % 7, F.lit(5), F.lit(7), "k", "x").alias("p"))
+    assert {(r.p.a, r.p.b) for r in pairs.collect()} == {(a, b) for a in range(5) for b in range(7)}
+
+
+def toxic_rows():
+    rng = np.random.default_rng(1)
+    words = [f"w{i}" for i in range(300)]
+    docs, labels = [], []
+    for i in range(1500):
+        found, toxic = list(rng.choice(words, 30)), int(i % 5 == 0)
+        if toxic:
+            found[:2] = rng.choice(["idiot", "scumbags", "scumming", "scummy"], 2)
+        if rng.random() < (0.5 if toxic else 0.04):
+            found.append("muslim")
+        docs.append((i, " ".join(found)))
+        labels.append((i, toxic))
+    return docs, labels
+
+
+def test_toxicity_and_counterfactuals(spark, none):
+    docs, labels = toxic_rows()
+    frame = spark.createDataFrame([*docs, (5000, None), (5001, ""), (None, "idiot scummy")], "doc_id long, text string").repartition(4)
+    marks = spark.createDataFrame([(*x, 1) for x in [*labels, (7000, None), (None, 1)]], "doc_id long, toxic int, text int")
+    got = {r.doc_id: r for r in toxicity.score_documents(frame, marks).collect()}
+    held = [i for i, _ in labels if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert all(got[i].held_out == (i in set(held)) for i, _ in labels)
+    right = sum(got[i].predicted == t for i, t in labels if i in set(held))
+    assert right >= 0.97 * len(held)
+    assert got[5000].score == got[5001].score < 0.5 and got[None].predicted == 1
+
+    def gap(pairing):
+        model = toxicity.fit(frame, marks, pairing=pairing)
+        score = model.scorer()
+        return score("w1 w2 muslim w3") - score("w1 w2 christian w3")
+
+    assert abs(gap(10.0)) < 0.5 * abs(gap(0.0))
+    assert toxicity.score_documents(none, marks).count() == 0
+    assert max(r.score for r in toxicity.score_documents(frame, marks.limit(0)).collect()) < 1e-6
+
+
+@pytest.fixture(scope="module")
+def encoded(corpus):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    return [(i, tokenizer.encode(t or "", add_special_tokens=False).ids) for i, t in corpus]
+
+
+def test_packing(docs, encoded, none):
+    rows = packing.pack_documents(docs, TOKENIZER).collect()
+    got = Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows)
+    want = Counter()
+    for i, ids in encoded:
+        data = np.array([*ids, 1], "<u4")
+        want.update((i, p // 4096, p, len(data[p : p + 4096]), zlib.crc32(data[p : p + 4096].tobytes())) for p in range(0, len(data), 4096))
+    assert got == want
+    assert_placed([(r.sequence_id, r.offset, r.length) for r in rows], 4096)
+    assert packing.pack_documents(none, TOKENIZER).count() == 0
+
+
+def assert_placed(rows, capacity):
+    by = defaultdict(list)
+    for sequence, offset, length in rows:
+        by[sequence].append((offset, length))
+    for pieces in by.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= capacity
+
+
+def best(lengths, capacity):
+    """The fewest sequences, by search."""
+    lengths, found = sorted(lengths, reverse=True), [len(lengths)]
+
+    def place(i, rooms):
+        if len(rooms) >= found[0]:
+            return
+        if i == len(lengths):
+            found[0] = len(rooms)
+            return
+        for k in sorted(set(rooms)):
+            if k >= lengths[i]:
+                j = rooms.index(k)
+                place(i + 1, [*rooms[:j], k - lengths[i], *rooms[j + 1 :]])
+        place(i + 1, [*rooms, capacity - lengths[i]])
+
+    place(0, [])
+    return found[0]
+
+
+def test_reduction_keeps_the_optimum():
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        capacity = int(rng.integers(5, 25))
+        lengths = rng.integers(1, capacity + 1, int(rng.integers(1, 10))).tolist()
+        hist = packing.Histogram(dict(Counter(lengths)), capacity)
+        fixed = sum(n for _, n in packing.reduce_instance(hist, capacity))
+        rest = [s for s, n in hist.left.items() for _ in range(n)]
+        assert fixed + best(rest, capacity) == best(lengths, capacity), (lengths, capacity)
+        slots, n = packing.pack(dict(Counter(lengths)), capacity)
+        assert best(lengths, capacity) <= n <= len(lengths)
+
+
+def test_token_counts(docs, corpus, none):
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    tokenizer.encode_special_tokens = True
+    want = sorted((i, len(tokenizer.encode(t or "", add_special_tokens=False).ids)) for i, t in corpus)
+    rows = token_counts.count_tokens(docs, TOKENIZER, SEPARATOR).select("doc_id", "n_tokens")
+    assert sorted(map(tuple, rows.collect())) == want
+    assert token_counts.count_tokens(none, TOKENIZER, SEPARATOR).count() == 0
+
+
+def test_flat_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_counts, "CHUNK_BLOCKS", 3)
+    rng, want = np.random.default_rng(6), set()
+    for name, n in (("a", 1000), ("b", 0), ("c", 7)):
+        ids = rng.integers(0, 9, n).astype("<u4")
+        ids[200:600][ids[200:600] == 8] = 1
+        (tmp_path / f"{name}.bin").write_bytes(ids.tobytes())
+        ends, at = [*np.flatnonzero(ids == 8).tolist()], 0
+        for k, end in enumerate(ends):
+            want.add((name, k, at, end - at, True))
+            at = end + 1
+        if at < n:
+            want.add((name, len(ends), at, n - at, False))
+    blocks = token_counts.read_flat(spark, str(tmp_path), 4, block_ids=16)
+    got = token_counts.scan_separators(blocks, 8, "<u4").collect()
+    assert {(r.file.rpartition("/")[2][0], r.document, r.start, r.n_tokens, r.ended) for r in got} == want
+
+
+def test_pipeline(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, sf_dir)
+        assert kept.columns == docs.columns and kept.count() <= docs.count(), name
+    rows = corpus_pipeline.run(spark, sf_dir)
+    assert 0 < rows.select("doc_id").distinct().count() <= docs.count()
+    assert_placed([(r.sequence_id, r.offset, r.length) for r in rows.collect()], 4096)
