@@ -168,7 +168,7 @@ class Tree:
         return out
 
 
-def grow(rows: np.ndarray, keep: np.ndarray, depth: int = 6, least: int = 2) -> Tree:
+def grow(rows: np.ndarray, keep: np.ndarray, depth: int = 6, least: int = 4) -> Tree:
     """A tree by the Gini impurity; splits leave ``least`` rows or more on both sides."""
     share = keep.mean() if len(keep) else 0.0
     leaf = Tree(bool(share >= 0.5))
