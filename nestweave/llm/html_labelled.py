@@ -90,4 +90,18 @@ PAGES: list[Page] = [
         (True, f"<p>{_SHORT}</p>", False),
         (False, f'<div class="comments"><p>{_MORE}</p><p>Agreed.</p></div><footer>Filed under: floods</footer></article>', False),
     ],
+    [
+        (False, f"<nav>{_links('Home', 'Town')}</nav>", False),
+        (True, f"<article><h1>Low water</h1><p>{_SHORT}</p></article>", False),
+        (False, "<footer><p>Paper of the valley</p></footer>", False),
+    ],
+    [
+        (False, '<nav><a href="/">Front page</a></nav>', False),
+        (True, f"<main><h2>Rain</h2><p>Still no rain.</p><h2>Wind</h2><p>{_SHORT}</p></main>", False),
+        (False, '<div class="footer">All rights are ours</div>', False),
+    ],
+    [
+        (False, f'<div class="nav"><ul>{_links("Start", "Search")}</ul></div>', False),
+        (True, f'<div class="entry"><h3>Ice</h3><p>{_MORE}</p><p>It held.</p></div>', False),
+    ],
 ]
