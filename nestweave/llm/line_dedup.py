@@ -82,9 +82,11 @@ def repeated_runs(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
 
 
 def attach_shared(every: DataFrame, shared: DataFrame) -> DataFrame:
-    """The runs of ``every`` whose fingerprint is in ``shared`` (fingerprint, number of runs)."""
-    known = every.join(small(shared.select("fingerprint"), 8), "fingerprint", "left_semi")
-    return known.select("doc_id", "line", "content")
+    """The runs of ``every`` whose fingerprint is in ``shared`` (fingerprint, m: its number of runs).
+
+    A fingerprint that isn't there has few runs, so the common ones are known from ``m``.
+    """
+    return attach(every, shared, "fingerprint", "m").select("doc_id", "line", "content")
 
 
 def remove_repeated_runs(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
