@@ -42,7 +42,7 @@ from nestweave.operators.spread import (
     assign_piece,
     copy_to_pieces,
     join_pieces,
-    partition_salt,
+    row_salt,
 )
 
 NOT_FOUND = "NOT_FOUND"
@@ -60,8 +60,8 @@ _SET_PIECE = "_id_set_piece"
 class Domain:
     """One lookup: ``array[].id_field`` in ``dimension``, written to ``array[].inner[].out_field``.
 
-    ``dimension`` has one name per ``dim_id``; more are an error, whatever the strategy. With ``struct_field`` the name is written as a
-    struct with that one field instead of a plain string.
+    ``dimension`` has one name per ``dim_id``; more are an error, whatever the strategy. With
+    ``struct_field`` the name is written as a struct with that one field instead of a plain string.
     """
 
     array: str
@@ -254,5 +254,5 @@ def _attach_maps(
         ]
     )
     hashed = docs.select("*", set_hash)
-    whole = assign_piece(hashed, hot[_SET], _SET, partition_salt(), _SET_PIECE)
+    whole = assign_piece(hashed, hot[_SET], _SET, row_salt(docs), _SET_PIECE)
     return whole.join(maps, set_keys, "left")

@@ -18,6 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nestweave.functions.nested import column
+
 PIECE = "_piece"
 _HOT = "_hot_hash"
 _PIECES = "_pieces"
@@ -143,12 +145,15 @@ def copy_to_pieces(
     )
 
 
-def partition_salt() -> Column:
-    """A salt that a retried task computes again exactly: the number of its input partition.
+def row_salt(rows: DataFrame) -> Column:
+    """A salt that a retried task computes again exactly, whatever order its rows come in.
 
-    It also spreads rows that are copies of each other, which a hash of their content cannot.
+    A hash of the row spreads rows that differ, over as many pieces as there are; the number of the
+    input partition spreads copies of one row, which are then cut no finer than the input is. Maps
+    can't be hashed and are left out.
     """
-    return F.spark_partition_id()
+    fields = [f for f in rows.schema.fields if "map<" not in f.dataType.simpleString()]
+    return F.spark_partition_id() + F.xxhash64(*[column(f.name) for f in fields])
 
 
 def join_pieces(
@@ -178,7 +183,7 @@ def spread_joins(
     """
     hot = hot_keys.find(left, single=list(rights)) if hot_keys else dict.fromkeys(rights)
     for key, right in rights.items():
-        left = join_pieces(left, right, key, how, hot[key], partition_salt())
+        left = join_pieces(left, right, key, how, hot[key], row_salt(left))
     return left
 
 

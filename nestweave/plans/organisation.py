@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from nestweave.operators.conform import conform
-from nestweave.functions.nested import nested_ids
 from nestweave.operators.dimension import chosen_names, last_wins_dimension
+from nestweave.operators.keys import domain_keys
 from nestweave.operators.lookup import NOT_FOUND, Domain, enrich
 from nestweave.schemas import ENRICH_FIELD, ENRICHED_ARRAYS, document_schema, enriched_schema
 from nestweave.sources.documents import nested_file_stream, table_stream
@@ -65,14 +65,7 @@ def organisation_domains(
 
 def batch_names(docs: DataFrame, reference: DataFrame, order: Sequence[str]) -> DataFrame:
     """(domain, id, name) of all ids that ``docs`` use, from one scan of the reference."""
-
-    def tagged(array: str, id_field: str):
-        ids = nested_ids(array, id_field)
-        return F.transform(ids, lambda x: F.struct(F.lit(array).alias("domain"), x.alias("id")))
-
-    every = F.array(*[tagged(array, id_field) for array, (id_field, _, _) in _LOOKUPS.items()])
-    ids = docs.select(F.explode(F.flatten(F.filter(every, lambda x: x.isNotNull()))).alias("key"))
-    keys = ids.select("key.*").where("id IS NOT NULL").distinct()
+    keys = domain_keys(docs, {array: id_field for array, (id_field, _, _) in _LOOKUPS.items()})
     columns = {array: (i, n) for array, (_, i, n) in _LOOKUPS.items()}
     return chosen_names(reference, columns, order, keys)
 

@@ -6,19 +6,27 @@ scalars, so they compare without regard to the order of rows or array elements.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
+from threading import Event
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nestweave.operators.conform import conform
-from nestweave.operators.dimension import buckets_for, last_wins_dimension, lookup_buckets
+from nestweave.operators.dimension import (
+    buckets_for,
+    chosen_names,
+    last_wins_dimension,
+    lookup_buckets,
+)
 from nestweave.operators.keys import (
     any_domain_match,
     distinct_keys,
+    domain_keys,
     exploded_keys,
     key_pruned_reference,
     nested_keys,
@@ -36,7 +44,7 @@ from nestweave.schemas import create_document_table, with_inner_field
 from nestweave.session import shared_folder
 from nestweave.sources.documents import folder_stream, nested_file_stream, table_stream
 from nestweave.sources.reference import reference_snapshot
-from nestweave.streaming.control import run_to_completion, trigger_policy
+from nestweave.streaming.control import ProgressLog, run_to_completion, trigger_policy
 from nestweave.streaming.enrichment import (
     BATCH,
     Sink,
@@ -249,6 +257,60 @@ def nested_lookup_all_domains_document_maps(spark, sf_dir):
     return _all_arrays(enrich(docs, _order_domains(spark, sf_dir), "document_maps"))
 
 
+LAST_EVENT_SQL = """
+SELECT user_id, event_type FROM (
+    SELECT user_id, event_type, row_number() OVER (
+        PARTITION BY user_id ORDER BY ts DESC, event_id DESC, event_type DESC) AS rn
+    FROM events) WHERE rn = 1
+"""
+
+
+def _last_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = read_table(spark, sf_dir, "events")
+    return last_wins_dimension(events, "user_id", "event_type", ["ts", "event_id"])
+
+
+@query(
+    f"""
+SELECT 'suppliers' AS domain, * FROM ({SUPPLIER_SQL})
+UNION ALL SELECT 'parts' AS domain, l_orderkey, l_partkey, l_linenumber, l_quantity,
+    coalesce(event_type, 'NOT_FOUND') FROM lineitem LEFT JOIN ({LAST_EVENT_SQL}) ON l_partkey = user_id
+UNION ALL SELECT 'nations' AS domain, * FROM ({NATION_SQL})
+"""
+)
+def nested_lookup_domains_with_misses(spark, sf_dir):
+    """Three domains of which one misses: there are fewer users with events than parts."""
+    docs = documents(spark, sf_dir, "orders")
+    events = Domain("parts", "partKey", "lines", _last_events(spark, sf_dir), "user_id", "event_type")
+    domains = [supplier_domain(spark, sf_dir), events, nation_domain(spark, sf_dir)]
+    return _all_arrays(enrich(docs, domains, "document_maps"))
+
+
+@query(ALL_DOMAINS_SQL)
+def nested_lookup_wide_reference(spark, sf_dir):
+    """Names of three domains, cut and chosen together from the wide reference, then looked up."""
+    docs = documents(spark, sf_dir, "orders")
+    ids = {"suppliers": "suppKey", "parts": "partKey", "nations": "nationKey"}
+    columns = {
+        "suppliers": ("s_suppkey", "s_name"),
+        "parts": ("p_partkey", "p_name"),
+        "nations": ("n_nationkey", "n_name"),
+    }
+    wide = wide_reference(spark, sf_dir).withColumn("n_nationkey", F.col("n_nationkey").cast("long"))
+    names = chosen_names(wide, columns, ["l_shipdate"], domain_keys(docs, ids, "bigint"))
+    folder = shared_folder(spark, "names")
+    names.write.parquet(folder)
+    names = spark.read.schema(names.schema).parquet(folder)
+
+    def domain(array: str, id_field: str) -> Domain:
+        id_type = docs.schema[array].dataType.elementType[id_field].dataType
+        own = names.where(F.col("domain") == array)
+        own = own.select(F.col("id").cast(id_type).alias("id"), "name")
+        return Domain(array, id_field, "lines", own, "id", "name")
+
+    return _all_arrays(enrich(docs, [domain(*item) for item in ids.items()]))
+
+
 # --- keys and reference -----------------------------------------------------------------------
 
 
@@ -318,17 +380,9 @@ def any_domain_match_wide(spark, sf_dir):
     return any_domain_match(wide_reference(spark, sf_dir), keysets)
 
 
-@query(
-    """
-SELECT user_id, event_type FROM (
-    SELECT user_id, event_type, row_number() OVER (
-        PARTITION BY user_id ORDER BY ts DESC, event_id DESC, event_type DESC) AS rn
-    FROM events) WHERE rn = 1
-"""
-)
+@query(LAST_EVENT_SQL)
 def last_wins_dimension_events(spark, sf_dir):
-    events = read_table(spark, sf_dir, "events")
-    return last_wins_dimension(events, "user_id", "event_type", ["ts", "event_id"])
+    return _last_events(spark, sf_dir)
 
 
 @query(
@@ -518,6 +572,40 @@ def _ingest_events(spark: SparkSession, sf_dir: str) -> str:
     return folder
 
 
+class _ReportedRows(ProgressLog):
+    """Rows reported by run of a query, and which runs have ended."""
+
+    def __init__(self):
+        self.rows: dict[str, int] = defaultdict(int)
+        self.ended: dict[str, Event] = defaultdict(Event)
+
+    def onQueryProgress(self, event):
+        super().onQueryProgress(event)
+        self.rows[str(event.progress.runId)] += event.progress.numInputRows
+
+    def onQueryTerminated(self, event):
+        super().onQueryTerminated(event)
+        self.ended[str(event.runId)].set()
+
+
+@query("SELECT count(*) AS reported_rows, count(*) AS written_rows FROM events")
+def stream_progress_rows(spark, sf_dir):
+    """What the progress listener was told, next to what the stream wrote."""
+    out, checkpoint = shared_folder(spark, "events"), shared_folder(spark, "events-checkpoint")
+    listener = _ReportedRows()
+    spark.streams.addListener(listener)
+    try:
+        stream = append_stream_to_folder(_event_stream(spark, sf_dir), out, checkpoint, _drain())
+        run_to_completion(stream)
+        run = str(stream.runId)
+        if not listener.ended[run].wait(60):  # events come after the query has ended
+            raise TimeoutError("the listener was not told of the end of the stream")
+    finally:
+        spark.streams.removeListener(listener)
+    written = spark.read.parquet(out).agg(F.count("*").alias("written_rows"))
+    return written.select(F.lit(listener.rows[run]).cast("long").alias("reported_rows"), "written_rows")
+
+
 @query(EVENTS_SQL)
 def stream_ingest(spark, sf_dir):
     return spark.read.parquet(_ingest_events(spark, sf_dir)).select(_EVENT_COLUMNS)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import org
 from nestweave.operators.lookup import Domain, enrich
-from nestweave.operators.spread import HotKeys
+from nestweave.operators.spread import HotKeys, assign_piece, row_salt
 from nestweave.plans.order_documents import nest_rows
 from nestweave.plans.organisation import batch_names, enrich_organisations
 from nestweave.plans.queries import QUERIES
@@ -60,6 +60,13 @@ def test_unique_keys_are_not_counted_one_by_one(spark):
     assert hot["id"].count() == 1
 
 
+def test_pieces_are_more_than_input_partitions(spark):
+    rows = spark.range(0, 20_000, 1, 2).select(F.lit(7).alias("key"), F.col("id").alias("value"))
+    hot = HotKeys(floor=1000, share=10).find(rows, single=["key"])["key"]
+    pieces = assign_piece(rows, hot, "key", row_salt(rows)).groupBy("_piece").count().collect()
+    assert len(pieces) == 10 and max(r["count"] for r in pieces) < 3000
+
+
 class StandIn:
     isActive, stopped = True, False
 

@@ -36,6 +36,7 @@ NAMES = [
     "nested_lookup_all_domains_document_maps",
     "nested_lookup_order_flag",
     "nested_keys_of_documents",
+    "nested_lookup_domains_with_misses",
     "key_pruned_orders",
     "any_domain_match_wide",
     "reference_union_dedup",
@@ -48,7 +49,7 @@ NAMES = [
 def skewed(sf_dir, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("skewed"))
     duck = duckdb.connect()
-    for table in ("lineitem", "orders", "supplier", "part", "nation", "region"):
+    for table in ("lineitem", "orders", "supplier", "part", "nation", "region", "events"):
         duck.execute(f"CREATE OR REPLACE VIEW source AS FROM '{sf_dir}/{table}.parquet'")
         select = SKEWED.get(table, "FROM source")
         duck.execute(f"COPY ({select}) TO '{folder}/{table}.parquet' (FORMAT parquet)")
