@@ -11,8 +11,8 @@ one, a factor ends where the reference does, and the windows that lie across a b
 index like any other, so what repeats across a boundary is found too.
 
 Whole copies of a document are found first by the digest of their words and never enter the index;
-anchors that hold a share of all blocks are split over several tasks. Windows are compared by 96 bits
-of two hashes and their place in the block.
+anchors that hold a share of all blocks are split over several tasks. Windows are compared by their
+anchor and 64 bits of another hash, so that chance matches stay out of reach under any anchor.
 
 Defined results: a null or empty text has no words; a document is no reference for itself; rows that
 repeat a ``doc_id`` count as one document's rows, each judged alone against smaller ids; a row
@@ -83,10 +83,10 @@ class TextHashes:
 
 
 def blocks_of(words: list[bytes], hashes: TextHashes) -> Iterator[tuple[np.ndarray, ...]]:
-    """(anchor, start, place, windows) arrays of the blocks of one document, in segments.
+    """(anchor, start, windows) arrays of the blocks of one document, in segments.
 
-    ``start`` is the first window of the block, ``place`` how far behind its first word the anchor
-    begins, ``windows`` the 32-bit hashes of the windows, one ``bytes`` per block.
+    ``start`` is the first window of the block, ``windows`` the 64-bit hashes of its windows, one
+    ``bytes`` per block.
     """
     for at in range(0, len(words) - WINDOW + 1, SEGMENT):
         part = words[at : at + SEGMENT + WINDOW - 1]
@@ -100,13 +100,13 @@ def blocks_of(words: list[bytes], hashes: TextHashes) -> Iterator[tuple[np.ndarr
         windows = hashes.between(second, 1, start[: len(start) - WINDOW + 1], end[WINDOW - 1 :])
         choice = sliding_window_view(grams, WINDOW - ANCHOR + 1).argmin(1) + np.arange(len(windows))
         begin = np.concatenate([[0], np.flatnonzero(np.diff(choice)) + 1])
-        short = (windows >> np.uint64(32)).astype("<u4").tobytes()
+        raw = windows.astype("<u8").tobytes()
         stop = np.concatenate([begin[1:], [len(windows)]])
-        cut = [short[4 * a : 4 * b] for a, b in zip(begin.tolist(), stop.tolist(), strict=True)]
-        yield grams[choice[begin]].view(np.int64), begin + at, choice[begin] - begin, cut
+        cut = [raw[8 * a : 8 * b] for a, b in zip(begin.tolist(), stop.tolist(), strict=True)]
+        yield grams[choice[begin]].view(np.int64), begin + at, cut
 
 
-_BLOCK = pa.schema([("anchor", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int32()), ("place", pa.int8()), ("windows", pa.binary())])
+_BLOCK = pa.schema([("anchor", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int32()), ("windows", pa.binary())])
 
 
 def blocks(rows: DataFrame) -> DataFrame:
@@ -116,13 +116,13 @@ def blocks(rows: DataFrame) -> DataFrame:
         hashes = TextHashes()
         for batch in batches:
             for doc_id, text in each_row(batch):
-                for anchor, start, place, windows in blocks_of(text.encode().split(), hashes):
+                for anchor, start, windows in blocks_of(text.encode().split(), hashes):
                     ids = np.full(len(anchor), doc_id, dtype=np.int64)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(anchor), pa.array(ids), pa.array(start, pa.int32()), pa.array(place, pa.int8()), pa.array(windows, pa.binary())], schema=_BLOCK
+                        [pa.array(anchor), pa.array(ids), pa.array(start, pa.int32()), pa.array(windows, pa.binary())], schema=_BLOCK
                     )
 
-    return rows.mapInArrow(_batched(cut), "anchor long, doc_id long, start int, place byte, windows binary")
+    return rows.mapInArrow(_batched(cut), "anchor long, doc_id long, start int, windows binary")
 
 
 def _batched(function, rows: int = 20_000):
@@ -149,21 +149,21 @@ _MATCHES = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("n", pa.in
 class _Windows:
     """The windows of a run of blocks as flat arrays, one entry per window."""
 
-    def __init__(self, anchor, doc, start, offset, short):
-        self.columns = [anchor, doc, start, offset, short]
-        self.anchor, self.doc, self.start, self.offset, self.short = self.columns
+    def __init__(self, anchor, doc, start, window):
+        self.columns = [anchor, doc, start, window]
+        self.anchor, self.doc, self.start, self.window = self.columns
 
     @classmethod
     def of(cls, batch: pa.RecordBatch) -> _Windows:
         data = batch.column("windows")
         ends = np.frombuffer(data.buffers()[1], dtype=np.int32)[data.offset : data.offset + len(data) + 1]
-        short = np.frombuffer(data.buffers()[2], dtype="<u4")[ends[0] // 4 : ends[-1] // 4]
-        n = np.diff(ends) // 4
-        nth = np.arange(len(short)) - np.repeat(np.cumsum(n) - n, n)
-        place = np.repeat(batch.column("place").to_numpy(), n) - nth
+        # The bytes of a filtered or sliced batch need not begin at a multiple of eight.
+        window = np.frombuffer(data.buffers()[2], dtype=np.uint8)[ends[0] : ends[-1]].view("<u8")
+        n = np.diff(ends) // 8
+        nth = np.arange(len(window)) - np.repeat(np.cumsum(n) - n, n)
         start = np.repeat(batch.column("start").to_numpy(), n) + nth
         one = [np.repeat(batch.column(c).to_numpy(), n) for c in ("anchor", "doc_id")]
-        return cls(*one, start, place, short)
+        return cls(*one, start, window)
 
     def take(self, which) -> _Windows:
         return _Windows(*(c[which] for c in self.columns))
@@ -175,10 +175,10 @@ class _Windows:
 def _firsts(w: _Windows) -> tuple[np.ndarray, np.ndarray]:
     """An order that puts equal windows together, first document first; where each class begins."""
     # The rows come in the order of their documents and places, which a stable sort keeps.
-    order = np.argsort(_mixed(w.anchor.view(np.uint64) + (w.offset.astype(np.uint64) << np.uint64(32) | w.short)), kind="stable")
+    order = np.argsort(_mixed(w.anchor.view(np.uint64) + w.window), kind="stable")
     s = w.take(order)
     new = np.ones(len(order), dtype=bool)
-    new[1:] = (s.anchor[1:] != s.anchor[:-1]) | (s.offset[1:] != s.offset[:-1]) | (s.short[1:] != s.short[:-1])
+    new[1:] = (s.anchor[1:] != s.anchor[:-1]) | (s.window[1:] != s.window[:-1])
     return order, new
 
 
@@ -249,15 +249,15 @@ def matches(rows: DataFrame) -> DataFrame:
 
     # Equal blocks of hot anchors combine on the map side. A later one matches the first as a whole,
     # and only the windows of first blocks are compared one by one, again with their first place.
-    block = ["anchor", "place", "windows"]
+    block = ["anchor", "windows"]
     dense = written(parts.join(few, "anchor"), "hot-blocks")
     places = dense.groupBy(*block).agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n"))
     places = written(places.withColumn("block", F.xxhash64(*block)), "hot-places")
     again = dense.withColumn("block", F.xxhash64(*block)).join(places.where("n > 1"), [*block, "block"])
     whole = again.where("doc_id > first.doc_id").select(
-        "doc_id", "start", (F.octet_length("windows") / 4).cast("int").alias("n"), *_first()
+        "doc_id", "start", (F.octet_length("windows") / 8).cast("int").alias("n"), *_first()
     )
-    single = places.select("anchor", "first.doc_id", "first.start", "place", "windows")
+    single = places.select("anchor", "first.doc_id", "first.start", "windows")
     wide = written(single.mapInArrow(_flat, "anchor long, window long, doc_id long, start int"), "hot-windows")
     firsts = wide.groupBy("anchor", "window").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n"))
     hits = wide.join(firsts.where("n > 1").drop("n"), ["anchor", "window"]).where("doc_id > first.doc_id")
@@ -270,10 +270,10 @@ def _first() -> list[Column]:
 
 
 def _flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per window of every block, named by its place to the anchor and its hash."""
+    """One row per window of every block, named by its hash."""
     for batch in batches:
         w = _Windows.of(batch)
-        columns = [pa.array(w.anchor), pa.array(w.offset.astype(np.int64) << 32 | w.short), pa.array(w.doc), pa.array(w.start.astype(np.int32))]
+        columns = [pa.array(w.anchor), pa.array(w.window.view(np.int64)), pa.array(w.doc), pa.array(w.start.astype(np.int32))]
         yield pa.RecordBatch.from_arrays(columns, names=["anchor", "window", "doc_id", "start"])
 
 
