@@ -42,8 +42,6 @@ HOT_BLOCKS = 2000
 HOT_SAMPLE = 16
 #: From so many blocks of the sampled documents on, an anchor is split.
 HOT_COUNT = 200
-#: Factors above this many bytes meet their texts by a shuffle instead of a broadcast.
-BROADCAST_BYTES = 16 << 20
 
 _MASK = (1 << 64) - 1
 #: Odd multipliers of the two hashes; any odd numbers with mixed bits will do.
@@ -344,8 +342,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         parse(single).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "n_words"))).alias("factors")),
         "factors",
     )
-    size = factors.agg(F.sum(F.size("factors") * 8 + 16)).first()[0] or 0
-    side = F.broadcast(factors) if size <= BROADCAST_BYTES else factors
+    side = factors.hint("merge")  # factors grow with the texts, so they meet by a shuffle at every size
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

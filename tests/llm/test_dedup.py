@@ -49,12 +49,10 @@ def repeated_words(corpus):
 
 
 @pytest.mark.parametrize("hot", [10**9, 0])
-@pytest.mark.parametrize("broadcast", [16 << 20, 0])
-def test_substring_dedup(docs, corpus, none, monkeypatch, hot, broadcast):
+def test_substring_dedup(docs, corpus, none, monkeypatch, hot):
     monkeypatch.setattr(substring_dedup, "HOT_COUNT", hot)
     monkeypatch.setattr(substring_dedup, "HOT_SAMPLE", 1)
     monkeypatch.setattr(substring_dedup, "SEGMENT", 1000)
-    monkeypatch.setattr(substring_dedup, "BROADCAST_BYTES", broadcast)
     got = sorted(map(tuple, substring_dedup.remove_repeats(docs).collect()))
     assert got == sorted(repeated_words(corpus))
     if not hot:
