@@ -246,16 +246,23 @@ def matches(rows: DataFrame) -> DataFrame:
         return found
 
     # Equal blocks of hot anchors combine on the map side. A later one matches the first as a whole,
-    # and only the windows of first blocks are compared one by one, again with their first place.
+    # and only the windows of first blocks, and of their repeats in the same document, are compared
+    # one by one, again with their first place.
     block = ["anchor", "windows"]
     dense = written(parts.join(few, "anchor"), "hot-blocks")
     places = dense.groupBy(*block).agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n"))
     places = written(places.withColumn("block", F.xxhash64(*block)), "hot-places")
     again = dense.withColumn("block", F.xxhash64(*block)).join(places.where("n > 1"), [*block, "block"])
-    whole = again.where("doc_id > first.doc_id").select(
-        "doc_id", "start", (F.octet_length("windows") / 8).cast("int").alias("n"), *_first()
-    )
+    # The document of a first block may hold it again. Its first is no smaller document, so those blocks are
+    # unfolded as well; of the others only the place is needed.
+    again = again.where("doc_id > first.doc_id OR start > first.start").select(
+        "anchor", "doc_id", "start", "first", (F.octet_length("windows") / 8).cast("int").alias("n"),
+        F.when(F.col("doc_id") == F.col("first.doc_id"), F.col("windows")).alias("windows"),
+    )
+    again = written(again, "hot-repeats")
+    whole = again.where("windows IS NULL").select("doc_id", "start", "n", *_first())
     single = places.select("anchor", "first.doc_id", "first.start", "windows")
+    single = single.unionByName(again.where("windows IS NOT NULL").select("anchor", "doc_id", "start", "windows"))
     wide = written(single.mapInArrow(_flat, "anchor long, window long, doc_id long, start int"), "hot-windows")
     firsts = wide.groupBy("anchor", "window").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n"))
     hits = wide.join(firsts.where("n > 1").drop("n"), ["anchor", "window"]).where("doc_id > first.doc_id")

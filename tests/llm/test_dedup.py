@@ -59,6 +59,21 @@ def test_substring_dedup(docs, corpus, none, monkeypatch, hot):
         assert substring_dedup.remove_repeats(none).count() == 0
 
 
+@pytest.mark.parametrize("hot", [10**9, 0])
+def test_substring_dedup_of_a_passage_repeated_in_one_document(spark, monkeypatch, hot):
+    monkeypatch.setattr(substring_dedup, "HOT_COUNT", hot)
+    monkeypatch.setattr(substring_dedup, "HOT_SAMPLE", 1)
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(0, 60, 3):
+        passage, a, b = (" ".join(f"p{x}" for x in rng.integers(0, 10**6, n)) for n in (30, 20, 20))
+        # The words before the passage differ between the documents and are the same within the second.
+        rows += [(i, f"{a} {passage}"), (i + 1, f"{b} {passage} {b} {passage} {b} {passage}"), (i + 2, f"{b} {passage} {b}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(map(tuple, substring_dedup.remove_repeats(docs).collect()))
+    assert got == sorted(repeated_words(rows))
+
+
 def test_factors_are_copies(docs, corpus):
     texts = {i: (t or "").split() for i, t in corpus if i not in (60, 68, 70, 71)}
     rows = docs.where(~F.col("doc_id").isin(60, 68, 70, 71)).fillna("").select("doc_id", "text")
