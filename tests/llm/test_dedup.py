@@ -6,12 +6,13 @@ import hashlib
 import re
 from collections import defaultdict
 
+import corpus_pipeline
 import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from nestweave.llm import decontaminate, exact_dedup, golay, line_dedup, simhash, substring_dedup
+from nestweave.llm import decontaminate, exact_dedup, golay, line_dedup, minhash, simhash, substring_dedup
 from nestweave.llm.common import components
 
 
@@ -180,6 +181,37 @@ def test_links_of_dense_clusters(spark, most):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
 
 
+def test_pipeline_near_copies(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(0, 120, 4):
+        words = [f"W{x}" for x in rng.integers(0, 3000, 60 + i)]
+        other, third, half = list(words), list(words), list(words)
+        other[len(words) // 2] = "changed"  # a near copy whose fingerprint may differ in many bits
+        third[5] = third[len(words) // 2] = "moved"
+        half[::12] = ["far"] * len(half[::12])  # shares shingles, but too few
+        rows += [(i + k, " ".join(w)) for k, w in enumerate([words, other, third, half])]
+    rows += [(120, "a b"), (121, "A  b"), (122, ""), (123, None), (124, "a c"), (None, rows[0][1]), (125, rows[0][1])]
+
+    def shingles(t):
+        w = (t or "").lower().split()
+        return {tuple(w[p : p + 5]) for p in range(len(w) - 4)} or {tuple(w)}
+
+    sets = {i: shingles(t) for i, t in rows if i is not None}
+    root = {i: i for i in sets}
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a < b and len(sets[a] & sets[b]) * 100 >= 80 * len(sets[a] | sets[b]):
+                old, new = max(root[a], root[b]), min(root[a], root[b])
+                root = {i: new if r == old else r for i, r in root.items()}
+    frame = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, n int").repartition(3)
+    want = {i for i, r in root.items() if r == i} | {None}
+    assert len(want) < len(rows) - 40
+    kept = corpus_pipeline.keep_one_of_near_copies(spark, frame, "")
+    assert {r.doc_id for r in kept.collect()} == want and kept.columns == frame.columns
+    assert corpus_pipeline.keep_one_of_near_copies(spark, frame.limit(0), "").count() == 0
+
+
 def test_decontamination(spark, none):
     rng = np.random.default_rng(2)
     prose = lambda n: [f"W{x}" for x in rng.integers(0, 5000, n)]
