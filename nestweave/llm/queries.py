@@ -13,7 +13,9 @@ from nestweave.llm import (
     html_extract,
     line_dedup,
     packing,
+    quality_rules,
     simhash,
+    spelling,
     substring_dedup,
     token_counts,
     toxicity,
@@ -72,6 +74,15 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", fingerprint, "component_id")
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(read(spark, sf_dir, "documents"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return quality_rules.judge(read(spark, sf_dir, "documents")).select(*columns)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -85,6 +96,8 @@ QUERIES = {
         op8_token_counts,
         op9_toxicity,
         op10_simhash_near_dedup,
+        op12_spelling_variants,
+        op13_quality_rules,
     )
 }
 
@@ -120,7 +133,44 @@ in_items AS (
 ),
 sizes AS (SELECT id, count(*) AS n_shingles FROM in_items GROUP BY id)"""
 
+_QUALITY = f"""
+docs AS (
+    SELECT doc_id, coalesce(text, '') AS body, {_WORDS.format("coalesce(text, '')")} AS ws,
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls
+    FROM documents
+),
+windows AS (
+    SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, shingle) AS n
+    FROM (
+        SELECT doc_id, unnest(range(1, len(ws) - 1)) AS p,
+            unnest(list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' '))) AS shingle
+        FROM docs WHERE len(ws) >= 3
+    )
+),
+repeated AS (
+    SELECT doc_id, count(DISTINCT place) AS n_repeat_words
+    FROM (SELECT doc_id, unnest([p, p + 1, p + 2]) AS place FROM windows WHERE n > 1) GROUP BY doc_id
+),
+measured AS (
+    SELECT doc_id, body, ws, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+        length(regexp_replace(body, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, len(ls) AS n_lines,
+        len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+        len(list_filter(ws, lambda w: regexp_matches(w, '[A-Za-zÀ-ɏ]'))) AS n_lettered,
+        length(regexp_replace(body, '[^A-Z]+', '', 'g')) AS n_capitals,
+        len(list_filter(ws, lambda w, i: i > 1 AND w = ws[i - 1])) AS n_stutters
+    FROM docs LEFT JOIN repeated USING (doc_id)
+)"""
+
 SQL = {
+    "op13_quality_rules": f"""
+WITH {_QUALITY}
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 100 * n_symbols > 10 * n_words
+        OR word_chars < 3 * n_words OR word_chars > 10 * n_words OR 100 * n_dup_lines > 50 * n_lines
+        OR 100 * n_capitals > 30 * word_chars OR 100 * (n_words - n_lettered) > 20 * n_words
+        OR 100 * n_stutters > 20 * n_words) AS kept
+FROM measured""",
     "op5_line_dedup": f"""
 WITH {_LINES}
 SELECT doc_id, count(*) AS n_lines, count(g.line) AS n_removed,
