@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nestweave.llm import (
+    collocations,
     decontaminate,
     exact_dedup,
     feistel,
@@ -74,6 +75,10 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", fingerprint, "component_id")
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(read(spark, sf_dir, "documents"))
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(read(spark, sf_dir, "documents"))
 
@@ -96,6 +101,7 @@ QUERIES = {
         op8_token_counts,
         op9_toxicity,
         op10_simhash_near_dedup,
+        op11_phrase_collocations,
         op12_spelling_variants,
         op13_quality_rules,
     )
@@ -133,6 +139,45 @@ in_items AS (
 ),
 sizes AS (SELECT id, count(*) AS n_shingles FROM in_items GROUP BY id)"""
 
+_GRAMS = " UNION ALL ".join(
+    f"SELECT lang, {k} AS k, unnest(list_transform(range(1, len(ws) - {k - 2}), lambda i: array_to_string(ws[i:i + {k - 1}], ' '))) AS phrase"
+    f" FROM split WHERE len(ws) >= {k}"
+    for k in range(1, 6)
+)
+_PHRASES = rf"""
+lowered AS (
+    SELECT coalesce(lang, 'und') AS lang,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body
+    FROM documents
+),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(body, '[.,;:!?\x0A-\x0D]')) AS piece FROM lowered),
+split AS (
+    SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM pieces
+),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM ({_GRAMS}) GROUP BY ALL),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS ws, f AS a FROM f WHERE k >= 2 AND f >= 100),
+cuts AS (
+    SELECT lang, phrase, k, ws, a, unnest(range(1, k)) AS cut FROM candidates
+),
+scored AS (
+    SELECT c.lang, c.phrase, c.a, c.cut, h.f AS l, t.f AS r, n.n,
+        (1000::HUGEINT * c.a * n.n) // (h.f::HUGEINT * t.f) AS score
+    FROM cuts c JOIN n ON n.lang = c.lang
+    JOIN f h ON h.lang = c.lang AND h.k = c.cut AND h.phrase = array_to_string(c.ws[1:c.cut], ' ')
+    JOIN f t ON t.lang = c.lang AND t.k = c.k - c.cut AND t.phrase = array_to_string(c.ws[c.cut + 1:], ' ')
+),
+lowest AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+),
+parts AS (
+    SELECT lang, a, k, ws, i, unnest(range(2, k)) AS width FROM (SELECT *, unnest(range(1, k)) AS i FROM candidates)
+),
+within AS (
+    SELECT lang, array_to_string(ws[i:i + width - 1], ' ') AS phrase, max(a) AS longer
+    FROM parts WHERE i + width - 1 <= k GROUP BY ALL
+)"""
+
 _QUALITY = f"""
 docs AS (
     SELECT doc_id, coalesce(text, '') AS body, {_WORDS.format("coalesce(text, '')")} AS ws,
@@ -162,6 +207,13 @@ measured AS (
 )"""
 
 SQL = {
+    "op11_phrase_collocations": f"""
+WITH {_PHRASES}
+SELECT * FROM (
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+        phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+    FROM lowest LEFT JOIN within USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a
+) WHERE rank <= 2000""",
     "op13_quality_rules": f"""
 WITH {_QUALITY}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
