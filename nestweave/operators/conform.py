@@ -15,6 +15,11 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     Structs are matched by field name, not by position; fields outside the schema are dropped,
     and a missing one is an error. Columns that already fit are passed through untouched.
     """
+    return df.select(*conformed_columns(df, schema))
+
+
+def conformed_columns(df: DataFrame, schema: T.StructType) -> list[Column]:
+    """The columns that :func:`conform` selects, for use in other expressions on ``df``."""
     have = {f.name: f.dataType for f in df.schema.fields}
     columns = []
     for field in schema.fields:
@@ -22,7 +27,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
             raise ValueError(f"column {field.name} is missing")
         value = _fit(column(field.name), have[field.name], field.dataType, field.name)
         columns.append(value.alias(field.name))
-    return df.select(*columns)
+    return columns
 
 
 def _fit(value: Column, have: T.DataType, want: T.DataType, path: str) -> Column:

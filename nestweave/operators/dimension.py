@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nestweave.functions.nested import column
+from nestweave.operators.prefilter import PREFILTER_BITS, key_bitmap, may_contain
 
 
 def last_wins_dimension(
@@ -18,7 +19,8 @@ def last_wins_dimension(
 
     The aggregate combines on the map side, so an id with very many rows reaches the reducers as
     one row per map task. Its buffers are strings, so Spark sorts before it combines: cut a large
-    reference to the ids in use first (:func:`chosen_names`).
+    reference to the ids in use first (:func:`chosen_names`), or keep the names from batch to
+    batch (:mod:`nestweave.operators.maintained`).
     """
     rank = F.struct(*[column(c) for c in (*order, name_column)])
     return (
@@ -33,21 +35,32 @@ def chosen_names(
     domains: Mapping[str, tuple[str, str]],
     order: Sequence[str],
     keys: DataFrame,
+    bits: int | None = PREFILTER_BITS,
 ) -> DataFrame:
     """(domain, id, name) of the ids in ``keys`` (domain, id), chosen as by last_wins_dimension.
 
     ``domains`` maps a domain to its id and name columns in the wide ``reference``, which is read
-    once for all of them: cut by one semi-join, and its names chosen in one aggregate.
+    once for all of them. A bitmap of the keys (:mod:`nestweave.operators.prefilter`) cuts it in
+    the scan; the names of what passes are chosen with map-side combining, so an id with very many rows
+    is one row a task before anything moves; the exact semi-join finds its rows partitioned by that aggregate.
+    ``bits=None`` goes without the bitmap.
     """
-    entries = [
-        F.struct(F.lit(d).alias("domain"), column(i).alias("id"), column(n).alias("name"))
-        for d, (i, n) in domains.items()
-    ]
+
+    def entry(domain: str, id_column: str, name_column: str) -> Column:
+        found = F.struct(
+            F.lit(domain).alias("domain"), column(id_column).alias("id"), column(name_column).alias("name")
+        )
+        if bits is None:
+            return F.when(column(id_column).isNotNull(), found)
+        return F.when(may_contain(table, [F.lit(domain), column(id_column)], bits), found)
+
+    table = None if bits is None else key_bitmap(keys, ["domain", "id"], bits).scalar()
+    entries = F.array_compact(F.array(*[entry(d, i, n) for d, (i, n) in domains.items()]))
     ranks = F.struct(*[column(c).alias(f"order_{i}") for i, c in enumerate(order)])
-    rows = reference.select(ranks.alias("rank"), F.explode(F.array(*entries)).alias("entry"))
-    kept = rows.select("rank", "entry.*").join(keys, ["domain", "id"], "left_semi")
+    rows = reference.select(ranks.alias("rank"), F.explode(entries).alias("entry"))
     last = F.max_by("name", F.struct("rank", "name"))
-    return kept.groupBy("domain", "id").agg(last.alias("name"))
+    chosen = rows.select("rank", "entry.*").groupBy("domain", "id").agg(last.alias("name"))
+    return chosen.join(keys, ["domain", "id"], "left_semi")
 
 
 def dimension_sizes(

@@ -44,6 +44,7 @@ from nestweave.operators.spread import (
     join_pieces,
     row_salt,
 )
+from nestweave.session import shared_folder
 
 NOT_FOUND = "NOT_FOUND"
 STRATEGIES = ("auto", "in_memory", "document_maps")
@@ -62,6 +63,8 @@ class Domain:
 
     ``dimension`` has one name per ``dim_id``; more are an error, whatever the strategy. With
     ``struct_field`` the name is written as a struct with that one field instead of a plain string.
+    ``computed`` says that the dimension is costly to compute: it is written to the shared folder once,
+    and measured and looked up there.
     """
 
     array: str
@@ -73,6 +76,7 @@ class Domain:
     default: str = NOT_FOUND
     out_field: str = "ENRICH"
     struct_field: str | None = None
+    computed: bool = False
 
     def entries(self) -> DataFrame:
         """The dimension reduced to its ids and names."""
@@ -80,6 +84,15 @@ class Domain:
             column(self.dim_id).alias("id"), column(self.dim_name).alias("name")
         ).where(F.col("id").isNotNull())
 
+    def stored(self) -> Domain:
+        """The same domain, its dimension written if it is ``computed``."""
+        if not self.computed:
+            return self
+        folder = shared_folder(self.dimension.sparkSession, "dimension")
+        rows = self.dimension.select(column(self.dim_id), column(self.dim_name))
+        rows.write.option("compression", "zstd").parquet(folder)
+        return replace(self, dimension=rows.sparkSession.read.schema(rows.schema).parquet(folder), computed=False)
+
     def value(self, name: Column) -> Column:
         """What is written into an inner struct for a name that was found or not."""
         found = lookup_or_default(name, self.default)
@@ -102,6 +115,7 @@ def enrich(
     next. ``hot_keys=None`` skips the count of hot ids.
     """
     _check(docs, domains)
+    domains = [d.stored() for d in domains]
     in_memory = _choose(domains, strategy)
     columns = [column(c) for c in docs.columns]
 
@@ -153,7 +167,7 @@ def prune_dimensions(docs: DataFrame, domains: Sequence[Domain]) -> list[Domain]
     def pruned(d: Domain) -> Domain:
         ids = docs.select(F.explode(nested_ids(d.array, d.id_field)).alias("_id")).distinct()
         kept = d.dimension.join(ids, column(d.dim_id) == F.col("_id"), "left_semi")
-        return replace(d, dimension=kept)
+        return replace(d, dimension=kept, computed=True)
 
     return [pruned(d) for d in domains]
 

@@ -7,7 +7,7 @@ scalars, so they compare without regard to the order of rows or array elements.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import replace
 from functools import reduce
 from threading import Event
@@ -32,7 +32,8 @@ from nestweave.operators.keys import (
     nested_keys,
 )
 from nestweave.operators.lookup import Domain, enrich, lookup_sizes, prune_dimensions
-from nestweave.operators.metrics import row_count
+from nestweave.operators.maintained import MaintainedDimension
+from nestweave.operators.metrics import add_digests, digest_of, row_count
 from nestweave.operators.spread import spread_join
 from nestweave.plans.order_documents import (
     documents,
@@ -43,7 +44,7 @@ from nestweave.plans.order_documents import (
 from nestweave.schemas import create_document_table, with_inner_field
 from nestweave.session import shared_folder
 from nestweave.sources.documents import folder_stream, nested_file_stream, table_stream
-from nestweave.sources.reference import reference_snapshot
+from nestweave.sources.reference import BucketedReference, reference_snapshot
 from nestweave.streaming.control import ProgressLog, run_to_completion, trigger_policy
 from nestweave.streaming.enrichment import (
     BATCH,
@@ -54,6 +55,8 @@ from nestweave.streaming.enrichment import (
     replay_safe_table,
 )
 from nestweave.streaming.ingest import append_stream_to_folder, append_stream_to_table
+from nestweave.streaming.reconcile import DigestLog, digested, digested_as
+from nestweave.streaming.repair import RepairableOutput
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -93,7 +96,7 @@ def order_flag_domain(spark: SparkSession, sf_dir: str, **changes) -> Domain:
     flags = last_wins_dimension(
         read_table(spark, sf_dir, "lineitem"), "l_orderkey", "l_returnflag", ["l_shipdate"]
     )
-    return Domain("orders", "orderKey", "entries", flags, "l_orderkey", "l_returnflag", **changes)
+    return Domain("orders", "orderKey", "entries", flags, "l_orderkey", "l_returnflag", computed=True, **changes)
 
 
 def order_lines(docs: DataFrame, array: str, id_field: str) -> DataFrame:
@@ -290,25 +293,46 @@ def nested_lookup_domains_with_misses(spark, sf_dir):
 def nested_lookup_wide_reference(spark, sf_dir):
     """Names of three domains, cut and chosen together from the wide reference, then looked up."""
     docs = documents(spark, sf_dir, "orders")
-    ids = {"suppliers": "suppKey", "parts": "partKey", "nations": "nationKey"}
-    columns = {
-        "suppliers": ("s_suppkey", "s_name"),
-        "parts": ("p_partkey", "p_name"),
-        "nations": ("n_nationkey", "n_name"),
-    }
     wide = wide_reference(spark, sf_dir).withColumn("n_nationkey", F.col("n_nationkey").cast("long"))
-    names = chosen_names(wide, columns, ["l_shipdate"], domain_keys(docs, ids, "bigint"))
-    folder = shared_folder(spark, "names")
+    names = chosen_names(wide, _WIDE_DOMAINS, ["l_shipdate"], domain_keys(docs, _ORDER_IDS, "bigint"))
+    return _all_arrays(_with_names(docs, names))
+
+
+_ORDER_IDS = {"suppliers": "suppKey", "parts": "partKey", "nations": "nationKey"}
+_WIDE_DOMAINS = {
+    "suppliers": ("s_suppkey", "s_name"),
+    "parts": ("p_partkey", "p_name"),
+    "nations": ("n_nationkey", "n_name"),
+}
+
+
+def _with_names(docs: DataFrame, names: DataFrame, arrays: Sequence[str] = tuple(_ORDER_IDS)) -> DataFrame:
+    """Order documents with ``names`` (domain, id, name), which are written once, looked up."""
+    folder = shared_folder(docs.sparkSession, "names")
     names.write.parquet(folder)
-    names = spark.read.schema(names.schema).parquet(folder)
+    names = docs.sparkSession.read.schema(names.schema).parquet(folder)
 
-    def domain(array: str, id_field: str) -> Domain:
+    def domain(array: str) -> Domain:
+        id_field = _ORDER_IDS[array]
         id_type = docs.schema[array].dataType.elementType[id_field].dataType
         own = names.where(F.col("domain") == array)
         own = own.select(F.col("id").cast(id_type).alias("id"), "name")
         return Domain(array, id_field, "lines", own, "id", "name")
 
-    return _all_arrays(enrich(docs, [domain(*item) for item in ids.items()]))
+    return enrich(docs, [domain(array) for array in arrays])
+
+
+@query(ALL_DOMAINS_SQL)
+def nested_lookup_bucketed_reference(spark, sf_dir):
+    """Names from a table bucketed by id, to which the wide reference was appended in two parts."""
+    docs = documents(spark, sf_dir, "orders")
+    table = shared_folder(spark, "bucketed_reference").rsplit("/", 1)[1].replace("-", "_")
+    reference = BucketedReference(spark, table, _WIDE_DOMAINS, ["l_shipdate"], buckets=16, id_type="bigint")
+    wide = wide_reference(spark, sf_dir)
+    early = F.pmod(F.xxhash64("l_shipdate", "p_partkey"), F.lit(2)) == 0
+    reference.append(wide.where(early))
+    reference.append(wide.where(~early))
+    return _all_arrays(_with_names(docs, reference.names(domain_keys(docs, _ORDER_IDS, "bigint"))))
 
 
 # --- keys and reference -----------------------------------------------------------------------
@@ -385,6 +409,18 @@ def last_wins_dimension_events(spark, sf_dir):
     return _last_events(spark, sf_dir)
 
 
+@query(LAST_EVENT_SQL)
+def last_wins_dimension_incremental(spark, sf_dir):
+    """The same from a kept dimension, to which events came in five parts, out of order and one of them twice."""
+    events = read_table(spark, sf_dir, "events")
+    kept = MaintainedDimension(
+        spark, shared_folder(spark, "last-events"), events, "user_id", "event_type", ["ts", "event_id"], partitions=16
+    )
+    for part in (3, 0, 4, 0, 1, 2):
+        kept.update(events.where(F.pmod(F.xxhash64("event_id"), F.lit(5)) == part))
+    return kept.names()
+
+
 @query(
     f"""
 SELECT 'supplier' AS domain, s_suppkey AS id, any_value(s_name) AS name FROM ({WIDE_SQL}) GROUP BY 2
@@ -448,6 +484,25 @@ def reference_surrogate_key(spark, sf_dir):
     )
 
 
+@query(
+    """
+SELECT s_suppkey, s_name, s_nationkey, concat_ws('-', substr(d, 1, 8), substr(d, 9, 4), '8' || substr(d, 14, 3),
+    substr('89ab', (strpos('0123456789abcdef', substr(d, 17, 1)) - 1) % 4 + 1, 1) || substr(d, 18, 3),
+    substr(d, 21, 12)) AS row_id
+FROM (SELECT DISTINCT s_suppkey, s_name, s_nationkey, sha256(concat_ws(',',
+    length(s_suppkey::VARCHAR) || ':' || s_suppkey, length(s_name) || ':' || s_name,
+    length(s_nationkey::VARCHAR) || ':' || s_nationkey)) AS d
+    FROM supplier JOIN lineitem ON s_suppkey = l_suppkey)
+"""
+)
+def reference_named_key(spark, sf_dir):
+    """Keys that a row has by its content: the snapshot of two overlapping parts gives the same ones again."""
+    suppliers = read_table(spark, sf_dir, "supplier")
+    lines = read_table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("s_suppkey"))
+    delivered = spread_join(lines, suppliers, "s_suppkey", "inner").select("s_suppkey", "s_name", "s_nationkey")
+    return reference_snapshot([delivered, delivered], surrogate_key="row_id", named=True)
+
+
 # --- shape ------------------------------------------------------------------------------------
 
 CONFORMED_ORDERS = """
@@ -721,3 +776,131 @@ def stream_metrics(spark, sf_dir):
         spark, sf_dir, shared_folder(spark, "enriched"), lambda _, m: seen.append(m)
     )
     return _metrics_table(spark, seen)
+
+
+@query(SUPPLIER_SQL)
+def stream_repair(spark, sf_dir):
+    """Enriched with half of the suppliers first; the batches that missed a name are repaired with all of them."""
+    raw = documents_folder(spark, sf_dir, "orders")
+    schema = spark.read.parquet(raw).schema
+    suppliers = read_table(spark, sf_dir, "supplier").select(
+        F.lit("suppliers").alias("domain"), F.col("s_suppkey").cast("long").alias("id"), F.col("s_name").alias("name")
+    )
+
+    def names_in(reference: DataFrame):
+        return lambda keys: key_pruned_reference(reference, keys, "id").select("domain", "id", "name")
+
+    enriched = with_inner_field(schema, "suppliers", "lines", T.StructField("ENRICH", T.StringType()))
+    output = RepairableOutput(
+        spark,
+        shared_folder(spark, "repairable"),
+        enriched,
+        keys=lambda docs: domain_keys(docs, {"suppliers": "suppKey"}, "bigint"),
+        enrich=lambda docs, names: _with_names(docs, names, ["suppliers"]),
+        id_type="bigint",
+    )
+    half = names_in(suppliers.where("id % 2 = 0"))
+    stream = folder_stream(spark, raw, schema, max_files=2).writeStream.trigger(**_drain())
+    stream = stream.option("checkpointLocation", shared_folder(spark, "repairable-checkpoint"))
+    run_to_completion(stream.foreachBatch(lambda batch, batch_id: output.write(batch, batch_id, half)).start())
+    output.repair(names_in(suppliers))
+    return order_lines(output.rows(), "suppliers", "suppKey")
+
+
+@query("SELECT count(*) AS orders, TRUE AS same_documents FROM orders")
+def stream_two_hop_reconciled(spark, sf_dir):
+    """Digests of the documents that the first hop read and of what the second wrote, names left out."""
+    source = documents_folder(spark, sf_dir, "customers")
+    schema = spark.read.parquet(source).schema
+    raw, out = shared_folder(spark, "first-hop"), shared_folder(spark, "second-hop")
+    log = DigestLog()
+    spark.streams.addListener(log)
+    try:
+        stream = digested(folder_stream(spark, source, schema, max_files=3))
+        first = append_stream_to_folder(stream, raw, shared_folder(spark, "first-hop-checkpoint"), _drain())
+        run_to_completion(first)
+        read = log.total(first)
+    finally:
+        spark.streams.removeListener(log)
+    domain = order_flag_domain(spark, sf_dir).stored()
+    written = []
+    second = enrich_stream(
+        folder_stream(spark, raw, schema),
+        lambda batch, observation: digested_as(enrich(batch, [domain]), schema, observation),
+        replay_safe_folder(out),
+        shared_folder(spark, "second-hop-checkpoint"),
+        _drain(),
+        lambda _, observed: written.append(digest_of(observed)),
+    )
+    run_to_completion(second)
+    same = F.lit(read == add_digests(written)).alias("same_documents")
+    return spark.read.parquet(out).agg(F.sum(F.size("orders")).alias("orders")).select("orders", same)
+
+
+@query(f"SELECT * FROM ({ORDER_FLAG_SQL}) WHERE cust_key = (SELECT min(o_custkey) FROM orders)")
+def stream_skip_empty_batches(spark, sf_dir):
+    """One file per batch, filtered to one customer: batches without rows are neither transformed nor written."""
+    raw = documents_folder(spark, sf_dir, "customers")
+    docs = spark.read.parquet(raw)
+    least = docs.agg(F.min("custKey")).first()[0]
+    domain = order_flag_domain(spark, sf_dir).stored()
+    out = shared_folder(spark, "enriched")
+    write = replay_safe_folder(out)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            raise ValueError(f"batch {batch_id} has no rows")
+        write(batch, batch_id)
+
+    query = enrich_stream(
+        folder_stream(spark, raw, docs.schema, max_files=1).where(F.col("custKey") == least),
+        lambda batch, observation: enrich(batch, [domain], observation=observation),
+        sink,
+        shared_folder(spark, "enrich-checkpoint"),
+        _drain(),
+    )
+    run_to_completion(query)
+    return customer_orders(spark.read.schema(_enriched_customers(docs)).parquet(out).drop(BATCH))
+
+
+def _enriched_customers(docs: DataFrame) -> T.StructType:
+    return with_inner_field(docs.schema, "orders", "entries", T.StructField("ENRICH", T.StringType()))
+
+
+@query(ORDER_FLAG_SQL)
+def stream_append_only_table(spark, sf_dir):
+    """Documents appended to a table in two parts, streamed out of it with options of the reader, enriched."""
+    docs = documents(spark, sf_dir, "customers")
+    table = shared_folder(spark, "customers_table").rsplit("/", 1)[1].replace("-", "_")
+    part = F.pmod(F.xxhash64("custKey"), F.lit(2))
+    domain = order_flag_domain(spark, sf_dir).stored()
+    out, checkpoint = shared_folder(spark, "enriched"), shared_folder(spark, "enrich-checkpoint")
+    create_document_table(spark, table, docs.schema)
+    for i in range(2):
+        # The second run finds only what was appended since the first.
+        docs.where(part == i).write.mode("append").insertInto(table)
+        query = enrich_stream(
+            table_stream(spark, table, max_files=2, ignoreMissingFiles="true"),
+            lambda batch, observation: enrich(batch, [domain], observation=observation),
+            replay_safe_folder(out),
+            checkpoint,
+            _drain(),
+        )
+        run_to_completion(query)
+    return customer_orders(spark.read.schema(_enriched_customers(docs)).parquet(out))
+
+
+DECLARED_ORDERS = """
+orderKey BIGINT,
+suppliers ARRAY<STRUCT<suppKey: BIGINT, lines: ARRAY<STRUCT<lineNumber: BIGINT, quantity: DOUBLE>>>>
+"""
+
+
+@query(SUPPLIER_SQL.replace("l_linenumber AS", "l_linenumber::BIGINT AS"))
+def stream_declared_schema(spark, sf_dir):
+    """Documents stored as JSON text, which has no schema, streamed with a declared one."""
+    text, raw = shared_folder(spark, "json-documents"), shared_folder(spark, "declared")
+    documents(spark, sf_dir, "orders").write.json(text)
+    stream = nested_file_stream(spark, text, T.StructType.fromDDL(DECLARED_ORDERS), "*.json", "json")
+    run_to_completion(append_stream_to_folder(stream, raw, shared_folder(spark, "declared-checkpoint"), _drain()))
+    return order_lines(enrich(spark.read.parquet(raw), [supplier_domain(spark, sf_dir)]), "suppliers", "suppKey")
