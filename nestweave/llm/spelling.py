@@ -44,9 +44,9 @@ DEPTH = 4
 #: Words of a subtree from which it is cut deeper.
 SUBTREE = 50_000
 #: Subtrees that are cut, at most, by level; a share of all words below 1 / CUT is never cut.
-CUT = 2000
+CUT = 100_000
 #: Pairs of a node's words and words that ask, up to which they are compared at once.
-BLOCK = 1 << 14
+BLOCK = 1 << 18
 #: Longest word that is verified in tables of letters; longer ones are verified one by one.
 LONG = 64
 
@@ -168,11 +168,16 @@ class _Words:
         self.words = words
         self.counts = vectors(words)
         self.length = np.array([len(w) for w in words], dtype=np.int32)
+        # Four marks for every count, as many set as letters, so that marks differ by no more than counts do.
+        unary = (np.uint64(1) << np.minimum(self.counts, 4).astype(np.uint64)) - np.uint64(1)
+        self.marks = (unary << np.arange(0, 4 * GROUPS, 4, dtype=np.uint64)).sum(1, dtype=np.uint64)
         width = min(LONG, int(self.length.max(initial=1)))
         raw = [w.encode("latin-1")[:width] for w in words]
         self.left = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in raw), dtype=np.uint8).reshape(-1, width)
         raw = [w.encode("latin-1")[-width:] for w in words]
         self.right = np.frombuffer(b"".join(w.rjust(width, b"\0") for w in raw), dtype=np.uint8).reshape(-1, width)
+        places = np.array([1, 1 << 8, 1 << 16], dtype=np.uint32)
+        self.head, self.tail = self.left[:, :3] @ places, self.right[:, -3:] @ places
 
 
 def _verified(w: _Words, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -218,11 +223,14 @@ def search(w: _Words, filed: np.ndarray, asking: np.ndarray, depth: int = 0) ->
         size = max(1, BLOCK * 4 // len(filed))
         for at in range(0, len(asking), size):
             some = asking[at : at + size]
-            change = w.counts[filed][None] - w.counts[some][:, None]
-            near = ((change > 0) * change).sum(2) <= 1
-            near &= ((change < 0) * -change).sum(2) <= 1
+            # At most one surplus and one deficit are at most two changes, and one letter more or less.
+            near = np.bitwise_count(w.marks[filed] ^ w.marks[some][:, None]) <= 2
+            near &= np.abs(w.length[filed] - w.length[some][:, None]) <= 1
             i, j = np.nonzero(near)
             a, b = some[i], filed[j]
+            # A letter that differs leaves the first three or the last three as they are.
+            alike = (w.head[a] == w.head[b]) | (w.tail[a] == w.tail[b])
+            a, b = a[alike], b[alike]
             ok = _verified(w, a, b)
             yield a[ok], b[ok]
         return
