@@ -1,25 +1,29 @@
-"""Token ids of a public tokenizer, with the ids of words kept for the next time they occur.
+"""Token ids of a public tokenizer, with the ids of words and of their pieces kept for the next time they occur.
 
 The tokenizer splits at white space before anything else, so the ids of a text are those of its
 words in a row. A word is cut with the tokenizer's own pattern and its pieces go to the tokenizer's
-own BPE model; a word that is not plain enough for that goes to the tokenizer as a whole.
+own BPE model; a word that is not plain enough for that goes to the tokenizer as a whole. Many words that
+are new have pieces that are not: ``Rein,`` and ``rein`` share one. What was used lately is kept, whenever it
+first came.
 """
 
 from __future__ import annotations
 
 import os
+import re
+import struct
+from collections.abc import Callable
 from functools import cache
 
-import numpy as np
-import regex
 from tokenizers import Tokenizer
 
-#: Words kept per Python worker. Later words are tokenised each time they come.
+#: Words and pieces kept per Python worker in each of two generations, about 100 MB in all.
 KEPT_WORDS = 250_000
-#: Fixed value: the pieces that the tokenizer file names in its pre-tokenizer.
-_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-#: Letters whose case or composition does not depend on their neighbours.
-_PLAIN = regex.compile(r"[\x21-\x7EÀ-ÖØ-öø-ÿ]+")
+KEPT_PIECES = 150_000
+#: Letters whose case or composition does not depend on their neighbours, and all other printable ASCII.
+_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+#: Fixed value: the pieces that the tokenizer file names in its pre-tokenizer, for lower-cased plain words.
+_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -29,36 +33,54 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
-class WordIds(dict):
-    """Word (UTF-8) → its ids as little-endian unsigned 32-bit numbers; grows up to a bound."""
+class Recent(dict):
+    """Keys and what ``make`` gave for them; those not used while ``most`` others were are forgotten."""
 
-    def __init__(self, path: str, ordinary_specials: bool = False):
+    def __init__(self, make: Callable, most: int):
         super().__init__()
+        self.make, self.most, self.before = make, most, {}
+
+    def __missing__(self, key):
+        found = self.before.get(key)
+        if found is None:
+            found = self.make(key)
+        if len(self) >= self.most:
+            self.before = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+
+class WordIds:
+    """Word (UTF-8) → its ids as little-endian unsigned 32-bit numbers."""
+
+    def __init__(self, path: str, ordinary_specials: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = ordinary_specials
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
+        self.packed = [struct.pack("<I", i) for i in range(self.tokenizer.get_vocab_size())]
+        self.words = Recent(self._word, KEPT_WORDS)
+        self.pieces = Recent(self._piece, KEPT_PIECES)
 
-    def __missing__(self, word: bytes) -> bytes:
-        ids = np.array(self._ids(word.decode()), dtype="<u4").tobytes()
-        if len(self) < KEPT_WORDS:
-            self[word] = ids
-        return ids
-
-    def _ids(self, word: str) -> list[int]:
-        if len(word) > 64 or "<|" in word or not _PLAIN.fullmatch(word):
-            return self.tokenizer.encode(word, add_special_tokens=False).ids
-        found = []
-        for piece in _PIECES.findall(word.lower()):
-            if not piece.isascii():
-                piece = piece.encode().decode("latin-1").translate(self.letters)
-            found += [x.id for x in self.model.tokenize(piece)]
-        return found
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode()
+        if len(text) > 64 or "<|" in text or not _PLAIN.fullmatch(text):
+            return b"".join([self.packed[i] for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
+        found = _PIECES.findall(text.lower())
+        if len(found) == 1:
+            return self.pieces[found[0]]
+        return b"".join([self.pieces[piece] for piece in found])
+
+    def _piece(self, piece: str) -> bytes:
+        if not piece.isascii():
+            piece = piece.encode().decode("latin-1").translate(self.letters)
+        return b"".join([self.packed[x.id] for x in self.model.tokenize(piece)])
 
     def text(self, text: str) -> bytes:
         """The ids of a whole text."""
-        return b"".join(map(self.__getitem__, text.encode().split()))
+        return b"".join(map(self.words.__getitem__, text.encode().split()))
 
 
 @cache
