@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +28,11 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select(docs["doc_id"].alias("doc_id"), text.alias("text"))
 
 
+def text_hash(text: Column) -> Column:
+    """With a ``doc_id`` the name of a row: rows that repeat an id are told apart by it; null counts as empty."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def words(text: Column) -> Column:
     """The words of a text, ASCII white space between them, as an array without empty strings."""
     return F.filter(F.split(text, SPACE), lambda w: w != "")
@@ -97,11 +102,6 @@ def each_row(batch: pa.RecordBatch) -> Iterator[tuple]:
     return (tuple(x.as_py() for x in row) for row in zip(*batch.columns, strict=True))
 
 
-def column_names(docs: DataFrame) -> Sequence[str]:
-    """The columns of ``docs`` as expressions that also take names with dots."""
-    return [f"`{c.replace('`', '``')}`" for c in docs.columns]
-
-
 def small(rows: DataFrame, row_bytes: int, limit: int = 16 << 20) -> DataFrame:
     """``rows``, marked for broadcast if they are counted to be below ``limit`` bytes.
 

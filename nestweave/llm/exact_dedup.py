@@ -26,10 +26,14 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(text, SPACE, " ")
 
 
+def digest_of(text: Column) -> Column:
+    """The SHA-256 of the normalised text; null counts as empty."""
+    return F.unhex(F.sha2(normalised(F.coalesce(text.cast("string"), F.lit(""))), 256))
+
+
 def digests(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest) of every row; the digest is the SHA-256 of the normalised text."""
-    digest = F.unhex(F.sha2(normalised(F.col("text")), 256)).alias("digest")
-    return texts(docs).select("doc_id", digest)
+    """(doc_id, digest) of every row."""
+    return texts(docs).select("doc_id", digest_of(F.col("text")).alias("digest"))
 
 
 @dataclass(frozen=True)

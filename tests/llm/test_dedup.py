@@ -212,6 +212,88 @@ def test_pipeline_near_copies(spark):
     assert corpus_pipeline.keep_one_of_near_copies(spark, frame.limit(0), "").count() == 0
 
 
+def sets_of(rows):
+    def shingles(t):
+        w = (t or "").lower().split()
+        return frozenset(tuple(w[p : p + 5]) for p in range(len(w) - 4)) or frozenset({tuple(w)})
+
+    return {row: shingles(row[1]) for row in rows if row[0] is not None}
+
+
+def brute_near(rows):
+    """row → (component_id, kept) of every row in a group of several, by all pairs."""
+    sets = sets_of(rows)
+    keys = sorted(sets, key=lambda r: (r[0], r[1] or ""))
+    root = {k: k for k in keys}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for n, a in enumerate(keys):
+        for b in keys[:n]:
+            if len(sets[a] & sets[b]) * 100 >= 80 * len(sets[a] | sets[b]):
+                root[find(a)] = find(b)
+    groups = defaultdict(list)
+    for k in keys:
+        groups[find(k)].append(k)
+    return {k: min(i for i, _ in g) for g in groups.values() if len(g) > 1 for k in g}
+
+
+@pytest.mark.parametrize("with_original", [True, False])
+def test_a_group_of_500_altered_copies(spark, with_original):
+    """Copies with a few words changed each: near the original, mostly too far from one another to link."""
+    rng = np.random.default_rng(12)
+    original = [f"o{x}" for x in rng.integers(0, 10**6, 240)]
+    rows = [(700, " ".join(original))] if with_original else []
+    for i in range(500):
+        words = list(original)
+        for at in rng.choice(240, size=int(rng.integers(1, 9)), replace=False):
+            words[at] = f"n{i}_{at}"
+        rows.append((int(i * 2), " ".join(words)))
+    frame = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, root string").repartition(4)
+    got = {r.doc_id: r.component_id for r in minhash.near_copies(frame).collect()}
+    want = {i: c for (i, _), c in brute_near(rows).items()}
+    assert got == want and len(want) > 300
+
+
+def test_near_copies_with_repeated_ids(spark):
+    rng = np.random.default_rng(13)
+    prose = lambda n: " ".join(f"p{x}" for x in rng.integers(0, 10**6, n))
+    a, b, c = prose(60), prose(60), prose(80)
+    rows = [(1, a), (2, a + " more"), (2, b), (2, b), (3, c), (3, c + " x"), (3, a.upper()), (4, None), (4, ""), (5, "  "), (None, a), (6, prose(50))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = minhash.near_copies(frame).join(frame.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text").distinct(), ["doc_id", "text_hash"])
+    got = {(r.doc_id, r.text or ""): r.component_id for r in found.collect()}
+    want = {(i, t or ""): c for (i, t), c in brute_near([(i, t or "") for i, t in rows]).items()}
+    # Equal rows are a group of their own in the answer, and the pipeline's exact dedup leaves one of them.
+    got.pop((2, b), None)
+    want.pop((2, b), None)
+    assert got == want
+    kept = corpus_pipeline.keep_one_of_near_copies(spark, frame, "")
+    assert sorted(kept.collect(), key=repr).count((2, b)) == 2
+    assert {tuple(r) for r in kept.collect()} & {(2, a + " more"), (3, a.upper()), (3, c + " x"), (3, c)} in ({(3, c)}, {(3, c + " x")})
+
+
+def test_pipeline_stages_tell_rows_apart(spark, sf_dir):
+    rng = np.random.default_rng(14)
+    prose = lambda n: " ".join(f"q{x}" for x in rng.integers(0, 10**6, n))
+    a, b = prose(40), prose(40)
+    rows = [(1, a, {"k": 1}), (2, a, None), (2, b, None), (2, b, {"k": 2}), (3, None, None), (4, "", None), (None, a, None), (None, a, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, _row map<string, int>")
+    kept = corpus_pipeline.keep_first_copies(spark, frame, "")
+    assert kept.columns == frame.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted([(1, a), (2, b), (3, None), (None, a), (None, a)], key=repr)
+    benchmark = spark.createDataFrame([(1, b)], "item_id long, text string")
+    benchmark.write.mode("overwrite").parquet(f"{spark.conf.get('spark.checkpoint.dir')}/bench/benchmark.parquet")
+    clean = corpus_pipeline.keep_uncontaminated(spark, frame, f"{spark.conf.get('spark.checkpoint.dir')}/bench")
+    assert clean.columns == frame.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in clean.collect()) == sorted((i or 0, t or "") for i, t, _ in rows if t != b)
+    for stage in (corpus_pipeline.keep_first_copies, corpus_pipeline.keep_one_of_near_copies, corpus_pipeline.keep_uncontaminated):
+        assert stage(spark, frame.limit(0), sf_dir).count() == 0
+
+
 def test_decontamination(spark, none):
     rng = np.random.default_rng(2)
     prose = lambda n: [f"W{x}" for x in rng.integers(0, 5000, n)]
