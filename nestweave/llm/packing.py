@@ -8,16 +8,19 @@ The result is a list of slots, each for a range of ranks within a length; the pi
 ranks on the executors (counted in buckets, so no length is sorted in one task) and look up their
 slots.
 
-Defined results: a null or empty text is the end id alone; rows that repeat a ``doc_id`` are packed
-like any other; an empty table gives no rows; other columns are not read.
+Defined results: a null or empty text is the end id alone; a very long one is cut into pieces; rows that repeat a
+``doc_id`` are packed like any other; pieces of one length are ranked by doc_id, piece and checksum, and those
+equal in all three change places without a difference; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
+import logging
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -28,6 +31,8 @@ from pyspark.sql import functions as F
 from nestweave.llm.common import each_row, texts, written
 from nestweave.llm.tokens import word_ids
 
+log = logging.getLogger(__name__)
+
 CAPACITY = 4096
 END_ID = 1
 #: Pieces of one length that are ranked in one task, about.
@@ -81,7 +86,7 @@ class Histogram:
     def smallest(self, n: int, below: dict[int, int], above: int = 0) -> list[int]:
         """The ``n`` smallest over ``above`` besides what ``below`` sets aside; ``none`` where there are fewer."""
         found: list[int] = []
-        for length in self.lengths[bisect_left(self.lengths, above + 1) :]:
+        for length in islice(self.lengths, bisect_left(self.lengths, above + 1), None):
             found += [length] * min(n - len(found), self.left[length] - below.get(length, 0))
             if len(found) == n:
                 break
@@ -112,16 +117,15 @@ def _best_pair(hist: Histogram, room: int, own: dict[int, int]) -> tuple[int, in
     return pair
 
 
-def dominating_set(hist: Histogram, capacity: int) -> tuple[int, ...] | None:
-    """Lengths that some optimal packing puts together, with the largest that is left; or None.
+def dominating_set(hist: Histogram, capacity: int, j: int) -> tuple[int, ...] | None:
+    """Lengths that some optimal packing puts together with one of length ``j``; or None.
 
-    Martello and Toth's criterion for sets of up to three. Let j be the largest. No other set with
+    Martello and Toth's criterion for sets of up to three. No other set with
     j can be better than {j} if nothing fits beside it; than {j, i} with the largest i that fits, if
     i fills it up, if no two fit, or if no three fit and i is as long as the best two together; than
     {j, a, b} with the best two (a the longer), if no three fit, a is the largest that fits alone and no
     two of those between a and b fit.
     """
-    j = hist.lengths[-1]
     room, own = capacity - j, {j: 1}
     i = hist.largest_to(room, own)
     if i is None:
@@ -139,16 +143,24 @@ def dominating_set(hist: Histogram, capacity: int) -> tuple[int, ...] | None:
 
 
 def reduce_instance(hist: Histogram, capacity: int) -> list[tuple[Pattern, int]]:
-    """Fixes dominating sets for as long as there are any; takes them out of ``hist``."""
-    fixed = []
-    while hist.lengths and (found := dominating_set(hist, capacity)):
-        need = {s: found.count(s) for s in found}
-        # As long as the counts last, the same set is found again, but for the criteria that look
-        # at the smallest lengths: what is taken only leaves larger ones, which they still meet.
-        n = min(hist.left[s] // k for s, k in need.items())
-        for s, k in need.items():
-            hist.take(s, n * k)
-        fixed.append((tuple(need.items()), n))
+    """Fixes dominating sets and takes them out of ``hist``, from the largest length to the smallest.
+
+    A length without such a set is passed over; what is fixed after it may leave one for it, so the lengths are
+    gone through until nothing more is found.
+    """
+    fixed: list[tuple[Pattern, int]] = []
+    before = -1
+    while before < len(fixed):
+        before = len(fixed)
+        for j in hist.lengths[::-1]:
+            while j in hist.left and (found := dominating_set(hist, capacity, j)):
+                need = {s: found.count(s) for s in found}
+                # As long as the counts last, the same set is found again, but for the criteria that look
+                # at the smallest lengths: what is taken only leaves larger ones, which they still meet.
+                n = min(hist.left[s] // k for s, k in need.items())
+                for s, k in need.items():
+                    hist.take(s, n * k)
+                fixed.append((tuple(need.items()), n))
     return fixed
 
 
@@ -197,10 +209,12 @@ class Slots:
     offset: np.ndarray
 
 
-def pack(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[dict[int, Slots], int]:
-    """Slots by length for a histogram of lengths, and the number of sequences."""
+def pack(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[dict[int, Slots], int, int]:
+    """Slots by length for a histogram of lengths, the number of sequences, and of pieces that the reduction fixed."""
     hist = Histogram(counts, capacity)
-    groups = reduce_instance(hist, capacity) + best_fit(hist, capacity)
+    reduced = reduce_instance(hist, capacity)
+    fixed = sum(n * each for pattern, n in reduced for _, each in pattern)
+    groups = reduced + best_fit(hist, capacity)
     used: dict[int, int] = {}
     slots: dict[int, list[tuple[int, int, int, int]]] = {}
     sequence = 0
@@ -214,7 +228,7 @@ def pack(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[dict[int, Sl
         sequence += n
     if used != {s: n for s, n in counts.items() if n}:
         raise AssertionError("the packing lost pieces")
-    return {s: Slots(*(np.array(x, dtype=np.int64) for x in zip(*rows, strict=True))) for s, rows in slots.items()}, sequence
+    return {s: Slots(*(np.array(x, dtype=np.int64) for x in zip(*rows, strict=True))) for s, rows in slots.items()}, sequence, fixed
 
 
 def _ranks(rows: DataFrame, counts: dict[int, int]) -> tuple[DataFrame, dict[tuple[int, int], int]]:
@@ -248,7 +262,8 @@ def pack_documents(
     counts = {r.length: r["count"] for r in rows.groupBy("length").count().collect()}
     if not counts:
         return rows.selectExpr("*", "0L AS sequence_id", "0L AS offset")
-    slots, _ = pack(counts, capacity)
+    slots, sequences, fixed = pack(counts, capacity)
+    log.info("%s sequences; the reduction fixed %s of %s pieces", sequences, fixed, sum(counts.values()))
     numbered, starts = _ranks(rows, counts)
     plan = rows.sparkSession.sparkContext.broadcast((slots, starts))
 

@@ -163,15 +163,18 @@ def best(lengths, capacity):
 
 def test_reduction_keeps_the_optimum():
     rng = np.random.default_rng(4)
-    for _ in range(300):
+    for case in range(900):
         capacity = int(rng.integers(5, 25))
-        lengths = rng.integers(1, capacity + 1, int(rng.integers(1, 10))).tolist()
+        # A third of the cases draw from few lengths, so that many alike are fixed at once.
+        some = rng.integers(1, capacity + 1, 3 if case % 3 == 0 else 50)
+        lengths = rng.choice(some, int(rng.integers(1, 11))).tolist()
         hist = packing.Histogram(dict(Counter(lengths)), capacity)
         fixed = sum(n for _, n in packing.reduce_instance(hist, capacity))
         rest = [s for s, n in hist.left.items() for _ in range(n)]
         assert fixed + best(rest, capacity) == best(lengths, capacity), (lengths, capacity)
-        slots, n = packing.pack(dict(Counter(lengths)), capacity)
-        assert best(lengths, capacity) <= n <= len(lengths)
+        assert not any(packing.dominating_set(hist, capacity, j) for j in hist.lengths)
+        slots, n, pieces = packing.pack(dict(Counter(lengths)), capacity)
+        assert best(lengths, capacity) <= n <= len(lengths) and pieces == len(lengths) - len(rest)
 
 
 def test_token_counts(docs, corpus, none):
