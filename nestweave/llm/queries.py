@@ -107,18 +107,21 @@ QUERIES = {
     )
 }
 
-_LINES = """
+_LINES = r"""
 rows AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+places AS (SELECT doc_id, unnest(range(1, len(lines) + 1)) AS line, lines FROM rows),
 runs AS (
-    SELECT doc_id, unnest(range(1, len(lines) - 1)) AS line, lines FROM rows WHERE len(lines) >= 3
+    SELECT doc_id, line, width, lines[line:line + width - 1] AS run
+    FROM places CROSS JOIN (VALUES (1), (2), (3)) AS w (width) WHERE line + width - 1 <= len(lines)
 ),
 firsts AS (
-    SELECT doc_id, line, row_number() OVER (
-        PARTITION BY array_to_string(lines[line:line + 2], chr(10)) ORDER BY doc_id, line
+    SELECT doc_id, line, width, row_number() OVER (
+        PARTITION BY width, array_to_string(run, chr(10)) ORDER BY doc_id, line
     ) > 1 AS later
     FROM runs
+    WHERE width = 3 OR len(list_filter(regexp_split_to_array(array_to_string(run, ' '), '[\x20\x09-\x0D]+'), lambda x: x <> '')) >= 50
 ),
-gone AS (SELECT DISTINCT doc_id, unnest([line, line + 1, line + 2]) AS line FROM firsts WHERE later),
+gone AS (SELECT DISTINCT doc_id, unnest(range(line, line + width)) AS line FROM firsts WHERE later),
 every AS (SELECT doc_id, unnest(range(1, len(lines) + 1)) AS line, lines FROM rows)"""
 
 _WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"

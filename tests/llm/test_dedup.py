@@ -84,25 +84,42 @@ def test_factors_are_copies(docs, corpus):
         assert texts[f.doc_id][f.start : f.start + f.n_words] == texts[f.ref_doc][f.ref_start : f.ref_start + f.n_words]
 
 
-def repeated_lines(rows, width):
-    split = [(i, (t or "").split("\n")) for i, t in rows]
-    first = {}
-    for i, x in sorted((i, x) for i, x in split if i is not None):
-        for p in range(len(x) - width + 1):
-            first.setdefault(tuple(x[p : p + width]), (i, p))
-    for i, x in split:
-        gone = {
-            p + k for p in range(len(x) - width + 1) for k in range(width) if i is not None and first[tuple(x[p : p + width])] < (i, p)
-        }
-        yield i, "\n".join(y for p, y in enumerate(x) if p not in gone), len(x), len(gone)
+def hash_of(text):
+    """Spark's hash of a text, which orders rows of one id."""
+    value = xxhash.xxh64_intdigest((text or "").encode(), 42)
+    return value - (1 << 64) if value >> 63 else value
+
+
+def repeated_lines(rows, width, long=50):
+    split = [((i, hash_of(t)), (t or "").split("\n")) for i, t in rows]
+    first, counted = {}, {}
+    for row, x in sorted(((r, x) for r, x in split if r[0] is not None)):
+        counted[row] = [
+            (p, w) for w in range(1, width + 1) for p in range(len(x) - w + 1)
+            if w == width or len(re.findall("[^ \t-\r]+", " ".join(x[p : p + w]))) >= long
+        ]
+        for p, w in counted[row]:
+            first.setdefault(tuple(x[p : p + w]), (row, p))
+    for row, x in split:
+        gone = {p + k for p, w in counted.get(row, ()) for k in range(w) if first[tuple(x[p : p + w])] < (row, p)}
+        yield row[0], "\n".join(y for p, y in enumerate(x) if p not in gone), len(x), len(gone)
+
+
+def line_rows():
+    rng = np.random.default_rng(3)
+    rows = [(int(i), "\n".join(rng.choice(list("abcde"), rng.integers(0, 30)))) for i in range(80)]
+    rows += [(80, None), (81, ""), (82, "\n\n\n\n"), (83, "\n\n\n"), (5, rows[5][1]), (None, rows[5][1]), (84, "x\n" * 5000)]
+    # Rows that repeat an id with other texts: nothing of one goes for what the other has lost.
+    rows += [(90, "p\n" * 5), (91, "p\n" * 5), (91, "q\n" * 7), (91, "p\np\np\nr"), (90, "s\nt\nu")]
+    one, two, half = " ".join(["many"] * 60), " ".join(["more"] * 49), " ".join(["few"] * 25)
+    rows += [(100, f"a\n{one}\nb"), (101, one), (102, f"{one}\n{two}"), (103, f"x\n{two}\ny"), (104, two), (105, f"{half}\n{half}"), (106, f"h\n{half}\n{half}\nk")]
+    return [*rows, (107, f"{half}\nz\n{half}"), (108, f"{half}  \n{half}")]
 
 
 @pytest.mark.parametrize("width", [1, 3, 4])
 def test_line_dedup(spark, none, width):
-    rng = np.random.default_rng(3)
-    rows = [(int(i), "\n".join(rng.choice(list("abcde"), rng.integers(0, 30)))) for i in range(80)]
-    rows += [(80, None), (81, ""), (82, "\n\n\n\n"), (83, "\n\n\n"), (5, rows[5][1]), (None, rows[5][1]), (84, "x\n" * 5000)]
-    frame = spark.createDataFrame([(*r, "line") for r in rows], "doc_id long, text string, line string").repartition(4)
+    rows = line_rows()
+    frame = spark.createDataFrame([(*r, "line", 7) for r in rows], "doc_id long, text string, line string, text_hash int").repartition(4)
     got = line_dedup.remove_repeated_runs(frame, width).collect()
     key = str
     assert sorted(map(tuple, got), key=key) == sorted(repeated_lines(rows, width), key=key)
@@ -110,6 +127,13 @@ def test_line_dedup(spark, none, width):
     assert "Python" not in line_dedup.remove_repeated_runs(frame, width)._jdf.queryExecution().toString()
 
 
+def test_line_dedup_without_a_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BROADCAST", 0)
+    rows = line_rows()
+    got = line_dedup.remove_repeated_runs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(repeated_lines(rows, 3), key=str)
+
+
 def test_golay_keys_meet_within_two_bits():
     rng = np.random.default_rng(1)
     words = rng.integers(0, 1 << 23, 2000)
