@@ -14,9 +14,10 @@ Whole copies of a document are found first by the digest of their words and neve
 anchors that hold a share of all blocks are split over several tasks. Windows are compared by their
 anchor and 64 bits of another hash, so that chance matches stay out of reach under any anchor.
 
-Defined results: a null or empty text has no words; a document is no reference for itself; rows that
-repeat a ``doc_id`` count as one document's rows, each judged alone against smaller ids; a row
-without ``doc_id`` is neither judged nor a reference; other columns are not read.
+Defined results: a null or empty text has no words; very long texts are cut into segments that overlap; a document is
+no reference for itself; rows that repeat a ``doc_id`` count as one document's rows, told apart by a hash of
+their texts and each judged alone against smaller ids; a row without ``doc_id`` is neither judged nor a
+reference; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nestweave.llm.common import attach, each_row, small, texts, written
+from nestweave.llm.common import attach, each_row, small, text_hash, texts, written
 
 WINDOW = 13
 ANCHOR = 4
@@ -104,23 +105,23 @@ def blocks_of(words: list[bytes], hashes: TextHashes) -> Iterator[tuple[np.ndarr
         yield grams[choice[begin]].view(np.int64), begin + at, cut
 
 
-_BLOCK = pa.schema([("anchor", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int32()), ("windows", pa.binary())])
+_BLOCK = pa.schema([("anchor", pa.int64()), ("doc_id", pa.int64()), ("variant", pa.int64()), ("start", pa.int32()), ("windows", pa.binary())])
 
 
 def blocks(rows: DataFrame) -> DataFrame:
-    """The blocks of every text of ``rows`` (doc_id, text)."""
+    """The blocks of every text of ``rows`` (doc_id, variant, text)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = TextHashes()
         for batch in batches:
-            for doc_id, text in each_row(batch):
+            for doc_id, variant, text in each_row(batch):
                 for anchor, start, windows in blocks_of(text.encode().split(), hashes):
-                    ids = np.full(len(anchor), doc_id, dtype=np.int64)
+                    names = [pa.array(np.full(len(anchor), x, dtype=np.int64)) for x in (doc_id, variant)]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(anchor), pa.array(ids), pa.array(start, pa.int32()), pa.array(windows, pa.binary())], schema=_BLOCK
+                        [pa.array(anchor), *names, pa.array(start, pa.int32()), pa.array(windows, pa.binary())], schema=_BLOCK
                     )
 
-    return rows.mapInArrow(_batched(cut), "anchor long, doc_id long, start int, windows binary")
+    return rows.select("doc_id", "variant", "text").mapInArrow(_batched(cut), "anchor long, doc_id long, variant long, start int, windows binary")
 
 
 def _batched(function, rows: int = 20_000):
@@ -140,16 +141,18 @@ def _batched(function, rows: int = 20_000):
     return run
 
 
-_MATCH = "doc_id long, start int, n int, ref_doc long, ref_start int"
-_MATCHES = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("ref_doc", pa.int64()), ("ref_start", pa.int32())])
+_MATCH = "doc_id long, variant long, start int, n int, ref_doc long, ref_start int"
+_MATCHES = pa.schema([
+    ("doc_id", pa.int64()), ("variant", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("ref_doc", pa.int64()), ("ref_start", pa.int32())
+])
 
 
 class _Windows:
     """The windows of a run of blocks as flat arrays, one entry per window."""
 
-    def __init__(self, anchor, doc, start, window):
-        self.columns = [anchor, doc, start, window]
-        self.anchor, self.doc, self.start, self.window = self.columns
+    def __init__(self, anchor, doc, variant, start, window):
+        self.columns = [anchor, doc, variant, start, window]
+        self.anchor, self.doc, self.variant, self.start, self.window = self.columns
 
     @classmethod
     def of(cls, batch: pa.RecordBatch) -> _Windows:
@@ -160,7 +163,7 @@ class _Windows:
         n = np.diff(ends) // 8
         nth = np.arange(len(window)) - np.repeat(np.cumsum(n) - n, n)
         start = np.repeat(batch.column("start").to_numpy(), n) + nth
-        one = [np.repeat(batch.column(c).to_numpy(), n) for c in ("anchor", "doc_id")]
+        one = [np.repeat(batch.column(c).to_numpy(), n) for c in ("anchor", "doc_id", "variant")]
         return cls(*one, start, window)
 
     def take(self, which) -> _Windows:
@@ -180,17 +183,17 @@ def _firsts(w: _Windows) -> tuple[np.ndarray, np.ndarray]:
     return order, new
 
 
-def _factors(doc, start, ref_doc, ref_start) -> pa.RecordBatch:
+def _factors(doc, variant, start, ref_doc, ref_start) -> pa.RecordBatch:
     """Matched windows joined to runs: the next window that matches the next place of the same document."""
-    order = np.lexsort((start, doc))
-    doc, start, ref_doc, ref_start = doc[order], start[order], ref_doc[order], ref_start[order]
+    order = np.lexsort((start, variant, doc))
+    doc, variant, start, ref_doc, ref_start = (x[order] for x in (doc, variant, start, ref_doc, ref_start))
     new = np.ones(len(doc), dtype=bool)
-    same = (doc[1:] == doc[:-1]) & (ref_doc[1:] == ref_doc[:-1])
+    same = (doc[1:] == doc[:-1]) & (variant[1:] == variant[:-1]) & (ref_doc[1:] == ref_doc[:-1])
     new[1:] = ~(same & (start[1:] == start[:-1] + 1) & (ref_start[1:] == ref_start[:-1] + 1))
     at = np.flatnonzero(new)
     n = np.diff(np.append(at, len(doc)))
     return pa.RecordBatch.from_arrays(
-        [pa.array(doc[at]), pa.array(start[at], pa.int32()), pa.array(n, pa.int32()), pa.array(ref_doc[at]), pa.array(ref_start[at], pa.int32())], schema=_MATCHES
+        [pa.array(doc[at]), pa.array(variant[at]), pa.array(start[at], pa.int32()), pa.array(n, pa.int32()), pa.array(ref_doc[at]), pa.array(ref_start[at], pa.int32())], schema=_MATCHES
     )
 
 
@@ -222,7 +225,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hit &= order >= held  # carried windows were judged before
         if hit.any():
             a, b = order[hit], head[hit]
-            yield _factors(w.doc[a], w.start[a], w.doc[b], w.start[b])
+            yield _factors(w.doc[a], w.variant[a], w.start[a], w.doc[b], w.start[b])
         carried = w.take(order[last])
 
 
@@ -235,7 +238,7 @@ def _hot_anchors(rows: DataFrame) -> list[int]:
 
 
 def matches(rows: DataFrame) -> DataFrame:
-    """Runs of windows of ``rows`` (doc_id, text) that also start in a smaller document."""
+    """Runs of windows of ``rows`` (doc_id, variant, text) that also start in a smaller document."""
     hot = _hot_anchors(rows)
     parts = blocks(rows)
     session = rows.sparkSession
@@ -250,23 +253,24 @@ def matches(rows: DataFrame) -> DataFrame:
     # one by one, again with their first place.
     block = ["anchor", "windows"]
     dense = written(parts.join(few, "anchor"), "hot-blocks")
-    places = dense.groupBy(*block).agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n"))
+    place = F.struct("doc_id", "variant", "start")
+    places = dense.groupBy(*block).agg(F.min(place).alias("first"), F.count("*").alias("n"))
     places = written(places.withColumn("block", F.xxhash64(*block)), "hot-places")
     again = dense.withColumn("block", F.xxhash64(*block)).join(places.where("n > 1"), [*block, "block"])
     # The document of a first block may hold it again. Its first is no smaller document, so those blocks are
     # unfolded as well; of the others only the place is needed.
-    again = again.where("doc_id > first.doc_id OR start > first.start").select(
-        "anchor", "doc_id", "start", "first", (F.octet_length("windows") / 8).cast("int").alias("n"),
+    again = again.where(place > F.col("first")).select(
+        "anchor", "doc_id", "variant", "start", "first", (F.octet_length("windows") / 8).cast("int").alias("n"),
         F.when(F.col("doc_id") == F.col("first.doc_id"), F.col("windows")).alias("windows"),
     )
     again = written(again, "hot-repeats")
-    whole = again.where("windows IS NULL").select("doc_id", "start", "n", *_first())
-    single = places.select("anchor", "first.doc_id", "first.start", "windows")
-    single = single.unionByName(again.where("windows IS NOT NULL").select("anchor", "doc_id", "start", "windows"))
-    wide = written(single.mapInArrow(_flat, "anchor long, window long, doc_id long, start int"), "hot-windows")
-    firsts = wide.groupBy("anchor", "window").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n"))
+    whole = again.where("windows IS NULL").select("doc_id", "variant", "start", "n", *_first())
+    single = places.select("anchor", "first.doc_id", "first.variant", "first.start", "windows")
+    single = single.unionByName(again.where("windows IS NOT NULL").select("anchor", "doc_id", "variant", "start", "windows"))
+    wide = written(single.mapInArrow(_flat, "anchor long, window long, doc_id long, variant long, start int"), "hot-windows")
+    firsts = wide.groupBy("anchor", "window").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     hits = wide.join(firsts.where("n > 1").drop("n"), ["anchor", "window"]).where("doc_id > first.doc_id")
-    one = hits.select("doc_id", "start", F.lit(1).alias("n"), *_first())
+    one = hits.select("doc_id", "variant", "start", F.lit(1).alias("n"), *_first())
     return found.unionByName(whole).unionByName(one)
 
 
@@ -278,14 +282,14 @@ def _flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per window of every block, named by its hash."""
     for batch in batches:
         w = _Windows.of(batch)
-        columns = [pa.array(w.anchor), pa.array(w.window.view(np.int64)), pa.array(w.doc), pa.array(w.start.astype(np.int32))]
-        yield pa.RecordBatch.from_arrays(columns, names=["anchor", "window", "doc_id", "start"])
+        columns = [pa.array(w.anchor), pa.array(w.window.view(np.int64)), pa.array(w.doc), pa.array(w.variant), pa.array(w.start.astype(np.int32))]
+        yield pa.RecordBatch.from_arrays(columns, names=["anchor", "window", "doc_id", "variant", "start"])
 
 
 def parse(docs: DataFrame) -> DataFrame:
-    """(doc_id, start, n_words, ref_doc, ref_start): the factors of every document, greedily joined.
+    """(doc_id, variant, start, n_words, ref_doc, ref_start): the factors of every document, greedily joined.
 
-    ``n_words`` words from word ``start`` equal those of ``ref_doc`` from ``ref_start``. Whole copies
+    ``docs`` (doc_id, text) may have a ``variant`` that tells rows of one id apart. ``n_words`` words from word ``start`` equal those of ``ref_doc`` from ``ref_start``. Whole copies
     must have been taken out (:func:`remove_repeats` does).
     """
 
@@ -293,13 +297,14 @@ def parse(docs: DataFrame) -> DataFrame:
         held: list[int] | None = None
         for batch in batches:
             rows = []
-            for doc, start, n, ref_doc, ref_start in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if held and held[0] == doc and held[3] == ref_doc and held[1] + held[2] == start and held[4] + held[2] == ref_start:
-                    held[2] += n
+            for doc, variant, start, n, ref_doc, ref_start in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                same = held and held[:2] == [doc, variant] and held[4] == ref_doc
+                if same and held[2] + held[3] == start and held[5] + held[3] == ref_start:
+                    held[3] += n
                 else:
                     if held:
                         rows.append(held)
-                    held = [doc, start, n, ref_doc, ref_start]
+                    held = [doc, variant, start, n, ref_doc, ref_start]
             if rows:
                 yield _table(rows)
         if held:
@@ -309,26 +314,27 @@ def parse(docs: DataFrame) -> DataFrame:
         columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _MATCHES.types, strict=True)]
         return pa.RecordBatch.from_arrays(columns, schema=_MATCHES)
 
-    runs = matches(docs).repartition("doc_id").sortWithinPartitions("doc_id", "start")
+    rows = docs if "variant" in docs.columns else docs.withColumn("variant", F.lit(0).cast("long"))
+    runs = matches(rows).repartition("doc_id").sortWithinPartitions("doc_id", "variant", "start")
     return runs.mapInArrow(join, _MATCH).select(
-        "doc_id", "start", (F.col("n") + WINDOW - 1).alias("n_words"), "ref_doc", "ref_start"
+        "doc_id", "variant", "start", (F.col("n") + WINDOW - 1).alias("n_words"), "ref_doc", "ref_start"
     )
 
 
 def _outline(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_words, digest) of every row, the digest that of its words joined by a space."""
+    """(doc_id, text_hash, n_words, digest) of every row, the digest that of its words joined by a space."""
 
     def outline(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, digests = [], []
-            for _, text in each_row(batch):
+            for _, _, text in each_row(batch):
                 found = text.encode().split()
                 sizes.append(len(found))
                 digests.append(hashlib.sha256(b" ".join(found)).digest())
-            columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "digest"])
+            columns = [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "n_words", "digest"])
 
-    return docs.mapInArrow(outline, "doc_id long, n_words long, digest binary")
+    return docs.mapInArrow(outline, "doc_id long, text_hash long, n_words long, digest binary")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -336,17 +342,27 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     A word goes if a factor covers it. ``kept_sha256`` is of the words that stay, one space between.
     """
-    rows = texts(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = texts(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text_hash(F.col("text")).alias("text_hash"), "text")
     outline = written(_outline(rows), "outlines")
     groups = outline.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"))
     copies = attach(outline, written(groups, "outline-groups"), "digest", "n").drop("n")
-    copies = written(copies, "copies")
-    own = copies.where(F.col("doc_id") == F.col("first_id")).where(F.col("n_words") >= WINDOW)
-    later = copies.where((F.col("doc_id") > F.col("first_id")) & (F.col("n_words") >= WINDOW)).select("doc_id")
-    # Whole copies need no parse. Few or many, their ids decide only which rows are parsed.
-    single = rows.where("doc_id IS NOT NULL").join(small(later.distinct(), 8), "doc_id", "left_anti")
+    copy = F.coalesce((F.col("doc_id") > F.col("first_id")) & (F.col("n_words") >= WINDOW), F.lit(False))
+    copies = written(copies.withColumn("copy", copy), "copies")
+    later = copies.where("copy").select("doc_id", "text_hash")
+    # Whole copies need no parse. Few or many, their names decide only which rows are parsed.
+    single = rows.where("doc_id IS NOT NULL").join(small(later.distinct(), 16), ["doc_id", "text_hash"], "left_anti")
+    # Few ids stand for several texts; only those need a name beside the id.
+    several = copies.where("NOT copy").groupBy("doc_id").agg(F.min("text_hash").alias("a"), F.max("text_hash").alias("b"))
+    several = written(several.where("a < b").select("doc_id", F.lit(True).alias("several")), "repeated-ids")
+
+    def with_variant(frame: DataFrame) -> DataFrame:
+        variant = F.when(F.col("several"), F.col("text_hash")).otherwise(0).cast("long")
+        return frame.join(small(several, 8), "doc_id", "left").withColumn("variant", variant).drop("several")
+
+    single = with_variant(single)
+    row = ["doc_id", "variant"]
     factors = written(
-        parse(single).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "n_words"))).alias("factors")),
+        parse(single).groupBy(*row).agg(F.sort_array(F.collect_list(F.struct("start", "n_words"))).alias("factors")),
         "factors",
     )
     side = factors.hint("merge")  # factors grow with the texts, so they meet by a shuffle at every size
@@ -366,12 +382,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
-    cut = single.join(side, "doc_id").select("doc_id", "text", "factors").mapInArrow(keep, schema)
+    cut = single.join(side, row).select("doc_id", "text", "factors").mapInArrow(keep, schema)
     nothing = hashlib.sha256(b"").hexdigest()
     whole = F.col("n_words").alias("n_removed"), F.lit(nothing).alias("kept_sha256")
-    gone = copies.where((F.col("doc_id") > F.col("first_id")) & (F.col("n_words") >= WINDOW)).select("doc_id", "n_words", *whole)
-    kept = copies.where(~((F.col("doc_id") > F.col("first_id")) & (F.col("n_words") >= WINDOW)) | F.col("doc_id").isNull())
-    kept = kept.join(factors.select("doc_id"), "doc_id", "left_anti").select(
+    gone = copies.where("copy").select("doc_id", "n_words", *whole)
+    kept = with_variant(copies.where("NOT copy")).join(factors.select(*row), row, "left_anti").select(
         "doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.lower(F.hex("digest")).alias("kept_sha256")
     )
     return cut.unionByName(gone).unionByName(kept)

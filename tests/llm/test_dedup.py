@@ -75,6 +75,24 @@ def test_substring_dedup_of_a_passage_repeated_in_one_document(spark, monkeypatc
     assert got == sorted(repeated_words(rows))
 
 
+@pytest.mark.parametrize("hot", [10**9, 0])
+def test_substring_dedup_of_repeated_ids(spark, monkeypatch, hot):
+    monkeypatch.setattr(substring_dedup, "HOT_COUNT", hot)
+    monkeypatch.setattr(substring_dedup, "HOT_SAMPLE", 1)
+    rng = np.random.default_rng(21)
+    prose = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 10**6, n))
+    a, b, c, d = prose(20), prose(40), prose(20), prose(14)
+    first = " ".join(a.split()[:14])
+    rows = [(1, a), (2, a), (2, f"z0 z1 z2 {first}"), (3, prose(20)), (4, b), (4, f"{c} {a}"), (4, f"{c} {a}"), (5, f"{d}  {c}"), (5, f"{d} {c}")]
+    rows += [(6, d), (6, b), (None, a), (None, None), (7, None), (7, "")]
+    docs = spark.createDataFrame([(*r, 5, "x") for r in rows], "doc_id long, text string, variant int, several string").repartition(3)
+    got = sorted(map(tuple, substring_dedup.remove_repeats(docs).collect()), key=repr)
+    named = [r for r in rows if r[0] is not None]
+    want = list(repeated_words(named)) + [(None, n, 0, h) for _, n, _, h in repeated_words([(i, t) for i, (x, t) in enumerate(rows) if x is None][:1])]
+    want += [(None, 0, 0, hashlib.sha256(b"").hexdigest())]
+    assert got == sorted(want, key=repr)
+
+
 def test_factors_are_copies(docs, corpus):
     texts = {i: (t or "").split() for i, t in corpus if i not in (60, 68, 70, 71)}
     rows = docs.where(~F.col("doc_id").isin(60, 68, 70, 71)).fillna("").select("doc_id", "text")
