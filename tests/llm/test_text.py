@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from nestweave.llm import feistel, html_extract, packing, token_counts, toxicity
+from nestweave.llm import feistel, html_extract, html_labelled, packing, token_counts, toxicity
 from nestweave.llm.queries import SEPARATOR, TOKENIZER
 
 TREE = html_extract.trained_tree()
@@ -20,7 +22,59 @@ TREE = html_extract.trained_tree()
 
 def test_tree_fits_its_table():
     rows, keep = html_extract.labelled_rows()
-    assert (TREE.decide(rows) == keep).mean() > 0.95
+    assert len(keep) > 2000 and (TREE.decide(rows) == keep).mean() > 0.99
+
+
+@pytest.mark.parametrize("style", html_labelled.STYLES)
+def test_tree_on_pages_it_has_not_seen(style):
+    """Other words, other lengths; for two of the styles without any name to go by."""
+    rows, keep = html_extract.labelled_rows(html_labelled.composed_pages(100, seed=99, styles=(style,)))
+    right = TREE.decide(rows) == keep
+    assert right[keep].mean() > 0.98 and right[~keep].mean() > 0.98
+
+
+def test_tree_splits_on_words_links_and_neighbours():
+    used = set()
+
+    def walk(tree):
+        if tree.low is not None:
+            used.add(html_extract.FEATURES[tree.feature])
+            walk(tree.low)
+            walk(tree.high)
+
+    walk(TREE)
+    assert "links" in used and used & {"words", "to_longest"}
+    assert len({f for f in used if f[-2] in "+-"}) >= 2 and len(used - {"hint"}) >= 5
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<body class="has-sidebar"><article><p>one two three</p><p>four</p></article>', "one two three\n\nfour"),
+        ('<article class="post category-social"><p>one two three four</p></article>', "one two three four"),
+        ('<div class="search-off"><main><p>one two three</p></main></div>', "one two three"),
+        ('<div id="content" class="with-widget"><p>one two three four</p><p>five six</p></div>', "one two three four\n\nfive six"),
+        ("<article><p>one <a>two three four</a></p><ul><li><a>x y</a></li></ul><p>tail</p></article>", "one two three four\n\nx y\n\ntail"),
+        ('<div class="navlinks"><p>a b</p></div><article><p>one two</p></article><ol class="commentlist"><li>me too</li></ol><div class="sitefooter">all ours</div>', "one two"),
+        ('<article><p>one</p><article class="comment-body"><p>me too I say so</p></article><p>two</p></article>', "one\n\ntwo"),
+    ],
+)
+def test_nearest_name_decides(page, text):
+    assert html_extract.extract(page, TREE)[0] == text
+
+
+@pytest.mark.parametrize(
+    "part", ["<a ", '<a "', "<div>x", "<!-- ", "<script>", "<", "<a b=\"'>", "<!x", "</p>", '<p class="', "<div></section>x"]
+)
+def test_hostile_pages_take_linear_time(part):
+    def seconds(n):
+        began = time.process_time()
+        html_extract.extract((part * n)[: n * 4] + "'", TREE)
+        return time.process_time() - began
+
+    seconds(1000)
+    # Four times the page may take eight times the time, which leaves room for noise; sixteen would be quadratic.
+    assert seconds(80_000) < 8 * max(seconds(20_000), 0.05)
 
 
 @pytest.mark.parametrize(
@@ -38,6 +92,18 @@ def test_html_pages(page, text):
     assert html_extract.extract(page, TREE)[0] == text
 
 
+def test_html_given_pages(spark):
+    """The given pages mark their articles; what is taken is their blocks, all of them and no others."""
+    for row in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect():
+        article = re.search("<article>(.*?)(</article>|$)", row.html or "", re.DOTALL)
+        blocks = html_extract.blocks_of(f"<article>{article[1]}</article>") if article else []
+        assert html_extract.extract(row.html or "", TREE)[0] == "\n\n".join(b.text for b in blocks if b.place == 1), row.page_id
+
+
+def test_html_empty_table(spark):
+    assert html_extract.extract_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
 def test_html_table(spark):
     rows = [(1, "u", "<article>a</article>", "x"), (None, None, None, None), (1, "u", "<article>a</article>", "x")]
     got = html_extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string, text string"))
