@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nestweave.llm.common import each_row, texts, written
-from nestweave.llm.tokens import word_ids
+from nestweave.llm.tokens import text_ids
 
 log = logging.getLogger(__name__)
 
@@ -47,7 +47,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, end, step = word_ids(tokenizer), np.array([end_id], "<u4").tobytes(), 4 * capacity
+        ids, end, step = text_ids(tokenizer), np.array([end_id], "<u4").tobytes(), 4 * capacity
         for batch in batches:
             rows = []
             for doc_id, text in each_row(batch):

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nestweave.llm.common import each_row, texts, written
-from nestweave.llm.tokens import word_ids
+from nestweave.llm.tokens import text_ids
 
 BLOCK_IDS = 1 << 15
 CHUNK_BLOCKS = 1 << 10
@@ -133,7 +133,7 @@ def write_flat(docs: DataFrame, tokenizer: str, separator: int, block_ids: int =
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], schema=schema)
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, step = word_ids(tokenizer, True), 2 * block_ids
+        ids, step = text_ids(tokenizer, True), 2 * block_ids
         end = np.array([separator], "<u2").tobytes()
         held, block, document, name = bytearray(), 0, 0, ""
         for batch in batches:

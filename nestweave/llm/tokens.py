@@ -1,10 +1,9 @@
-"""Token ids of a public tokenizer, with the ids of words and of their pieces kept for the next time they occur.
+"""Token ids of a public tokenizer, with the ids of pieces kept for the next time they occur.
 
-The tokenizer splits at white space before anything else, so the ids of a text are those of its
-words in a row. A word is cut with the tokenizer's own pattern and its pieces go to the tokenizer's
-own BPE model; a word that is not plain enough for that goes to the tokenizer as a whole. Many words that
-are new have pieces that are not: ``Rein,`` and ``rein`` share one. What was used lately is kept, whenever it
-first came.
+The tokenizer lowers the case, cuts a text into pieces by a pattern, white space in none of them, and looks up the
+ids of each piece in its BPE model. For plain characters the same is done here for a whole text at once, and a piece goes
+to the tokenizer's own model only if it wasn't used lately. A word with any other character, or with what may be
+a special token, goes to the tokenizer as it is.
 """
 
 from __future__ import annotations
@@ -17,13 +16,20 @@ from functools import cache
 
 from tokenizers import Tokenizer
 
-#: Words and pieces kept per Python worker in each of two generations, about 100 MB in all.
-KEPT_WORDS = 250_000
+#: Pieces kept per Python worker in each of two generations, about 70 MB in all.
 KEPT_PIECES = 150_000
-#: Letters whose case or composition does not depend on their neighbours, and all other printable ASCII.
-_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
-#: Fixed value: the pieces that the tokenizer file names in its pre-tokenizer, for lower-cased plain words.
-_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+#: Characters of a longer piece, which isn't kept.
+LONG = 64
+#: Characters of text that are cut into pieces at a time, about.
+BLOCK = 1 << 18
+#: Characters other than white space, printable ASCII and letters whose case or composition does not depend on
+#: their neighbours, and the beginning of a special token.
+_ODD = re.compile(r"[^\t-\r -~À-ÖØ-öø-ÿ]|<\|")
+_PLAIN = bytes(b for b in range(256) if not _ODD.match(chr(b)))
+_LOWER = bytes(ord(chr(b).lower()) for b in range(256))
+#: Fixed value: the pieces other than runs of letters that the tokenizer file names in its pre-tokenizer.
+_SIGNS = re.compile(rb"'(?:s|t|re|ve|m|ll|d)|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff\s]+")
+_SPACE = re.compile(r"[ \t-\r]")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -34,7 +40,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 class Recent(dict):
-    """Keys and what ``make`` gave for them; those not used while ``most`` others were are forgotten."""
+    """Keys and what ``make`` gave for them; those not used while ``most`` others were are forgotten, LONG ones at once."""
 
     def __init__(self, make: Callable, most: int):
         super().__init__()
@@ -44,6 +50,8 @@ class Recent(dict):
         found = self.before.get(key)
         if found is None:
             found = self.make(key)
+            if len(key) > LONG:
+                return found
         if len(self) >= self.most:
             self.before = dict(self)
             self.clear()
@@ -51,8 +59,8 @@ class Recent(dict):
         return found
 
 
-class WordIds:
-    """Word (UTF-8) → its ids as little-endian unsigned 32-bit numbers."""
+class TextIds:
+    """Text → its ids as little-endian unsigned 32-bit numbers."""
 
     def __init__(self, path: str, ordinary_specials: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -61,29 +69,52 @@ class WordIds:
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         self.packed = [struct.pack("<I", i) for i in range(self.tokenizer.get_vocab_size())]
-        self.words = Recent(self._word, KEPT_WORDS)
         self.pieces = Recent(self._piece, KEPT_PIECES)
 
-    def _word(self, word: bytes) -> bytes:
-        text = word.decode()
-        if len(text) > 64 or "<|" in text or not _PLAIN.fullmatch(text):
-            return b"".join([self.packed[i] for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
-        found = _PIECES.findall(text.lower())
-        if len(found) == 1:
-            return self.pieces[found[0]]
-        return b"".join([self.pieces[piece] for piece in found])
-
-    def _piece(self, piece: str) -> bytes:
+    def _piece(self, piece: bytes) -> bytes:
+        text = piece.decode("latin-1")
         if not piece.isascii():
-            piece = piece.encode().decode("latin-1").translate(self.letters)
-        return b"".join([self.packed[x.id] for x in self.model.tokenize(piece)])
+            text = text.encode().decode("latin-1").translate(self.letters)
+        return b"".join([self.packed[x.id] for x in self.model.tokenize(text)])
+
+    def _plain(self, text: bytes) -> bytes:
+        """The ids of plain text in Latin-1: what isn't letters is set apart, then white space cuts all pieces."""
+        pieces = _SIGNS.sub(rb" \g<0> ", text.translate(_LOWER)).split()
+        return b"".join(map(self.pieces.__getitem__, pieces))
+
+    def _block(self, text: str) -> bytes:
+        try:
+            raw = text.encode("latin-1")
+            if b"<|" not in raw and not raw.translate(None, _PLAIN):
+                return self._plain(raw)
+        except UnicodeEncodeError:
+            pass
+        out, at = [], 0
+        while odd := _ODD.search(text, at):
+            start, space = odd.start(), _SPACE.search(text, odd.end())
+            while start > at and not _SPACE.match(text, start - 1):
+                start -= 1
+            out.append(self._plain(text[at:start].encode("latin-1")))
+            at = space.start() if space else len(text)
+            ids = self.tokenizer.encode(text[start:at], add_special_tokens=False).ids
+            out.append(b"".join([self.packed[i] for i in ids]))
+        out.append(self._plain(text[at:].encode("latin-1")))
+        return b"".join(out)
 
     def text(self, text: str) -> bytes:
         """The ids of a whole text."""
-        return b"".join(map(self.words.__getitem__, text.encode().split()))
+        if len(text) <= BLOCK:
+            return self._block(text)
+        out, at = [], 0
+        while at < len(text):
+            space = _SPACE.search(text, at + BLOCK)
+            end = space.start() if space else len(text)
+            out.append(self._block(text[at:end]))
+            at = end
+        return b"".join(out)
 
 
 @cache
-def word_ids(path: str, ordinary_specials: bool = False) -> WordIds:
-    """One cache of words per worker process."""
-    return WordIds(path, ordinary_specials)
+def text_ids(path: str, ordinary_specials: bool = False) -> TextIds:
+    """One cache of pieces per worker process."""
+    return TextIds(path, ordinary_specials)

@@ -278,3 +278,29 @@ def test_pipeline(spark, sf_dir):
     rows = corpus_pipeline.run(spark, sf_dir)
     assert 0 < rows.select("doc_id").distinct().count() <= docs.count()
     assert_placed([(r.sequence_id, r.offset, r.length) for r in rows.collect()], 4096)
+
+
+def test_ids_of_hostile_texts(monkeypatch):
+    """Texts of all kinds of characters have the ids that the tokenizer gives them, in blocks of any size."""
+    from nestweave.llm import tokens
+
+    rng = np.random.default_rng(17)
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    parts = ["don't", "'St", "!'s", "12.5%", "<|endoftext|>", "<|x", "é", "ÀÉ", "×÷", "straße", "Σίγμα", "日本", "é", " ", "\x1c", "\x85", "\x7f", "ª", "İ", "𝔘"]
+    parts += ["a" * 70, "Hello,", "x", "...", "\t", "\n", "\x0b", "\r", " ", "  ", "'", "''s", "re'll", "A.B", "µ", "a​b"]
+    monkeypatch.setattr(tokens, "BLOCK", 40)
+    ids = tokens.TextIds(TOKENIZER)
+    for _ in range(1500):
+        text = "".join(rng.choice(parts, int(rng.integers(0, 30)))) if rng.random() < 0.5 else " ".join(rng.choice(parts, int(rng.integers(0, 30))))
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids.text(text), "<u4").tolist() == want, text
+
+
+def test_recent_forgets_what_is_not_used():
+    from nestweave.llm.tokens import Recent
+
+    made = []
+    recent = Recent(lambda x: made.append(x) or x, 3)
+    for x in "abcabcdaef":
+        assert recent[x] == x
+    assert len(recent) + len(recent.before) <= 6 and made.count("a") == 1
