@@ -79,19 +79,13 @@ class Domain:
     computed: bool = False
 
     def entries(self) -> DataFrame:
-        """The dimension reduced to its ids and names."""
-        return self.dimension.select(
-            column(self.dim_id).alias("id"), column(self.dim_name).alias("name")
-        ).where(F.col("id").isNotNull())
+        return entries_of(self)
+
+    def id_set(self) -> Column:
+        return id_set(self.array, self.id_field)
 
     def stored(self) -> Domain:
-        """The same domain, its dimension written if it is ``computed``."""
-        if not self.computed:
-            return self
-        folder = shared_folder(self.dimension.sparkSession, "dimension")
-        rows = self.dimension.select(column(self.dim_id), column(self.dim_name))
-        rows.write.option("compression", "zstd").parquet(folder)
-        return replace(self, dimension=rows.sparkSession.read.schema(rows.schema).parquet(folder), computed=False)
+        return stored(self)
 
     def value(self, name: Column) -> Column:
         """What is written into an inner struct for a name that was found or not."""
@@ -99,6 +93,22 @@ class Domain:
         return F.struct(found.alias(self.struct_field)) if self.struct_field else found
 
 
+def entries_of(domain: Domain) -> DataFrame:
+    """The dimension of a domain reduced to its ids and names."""
+    rows = domain.dimension.select(column(domain.dim_id).alias("id"), column(domain.dim_name).alias("name"))
+    return rows.where(F.col("id").isNotNull())
+
+
+def stored(domain: Domain) -> Domain:
+    """The same domain, its dimension written if it is ``computed``."""
+    if not domain.computed:
+        return domain
+    folder = shared_folder(domain.dimension.sparkSession, "dimension")
+    rows = domain.dimension.select(column(domain.dim_id), column(domain.dim_name))
+    rows.write.option("compression", "zstd").parquet(folder)
+    return replace(domain, dimension=rows.sparkSession.read.schema(rows.schema).parquet(folder), computed=False)
+
+
 def enrich(
     docs: DataFrame,
     domains: Sequence[Domain],
@@ -116,11 +126,11 @@ def enrich(
     """
     _check(docs, domains)
     domains = [d.stored() for d in domains]
-    in_memory = _choose(domains, strategy)
+    in_memory = choose(domains, strategy)
     columns = [column(c) for c in docs.columns]
 
     by_documents = [i for i in range(len(domains)) if i not in in_memory]
-    work = _attach_maps(docs, domains, by_documents, hot_keys) if by_documents else docs
+    work = attach_maps(docs, domains, by_documents, hot_keys) if by_documents else docs
     for i, buckets in in_memory.items():
         table = lookup_table(domains[i].entries(), "id", "name", buckets)
         # Spark's optimiser moves this subquery into the expression below, so the table is
@@ -185,7 +195,7 @@ def _check(docs: DataFrame, domains: Sequence[Domain]) -> None:
             )
 
 
-def _choose(domains: Sequence[Domain], strategy: str) -> dict[int, int]:
+def choose(domains: Sequence[Domain], strategy: str) -> dict[int, int]:
     """Index → number of buckets of the domains to look up in memory."""
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
@@ -226,7 +236,7 @@ def _names(d: Domain, i: int, buckets: int | None) -> Column:
     return found.alias(_helper("names", i))
 
 
-def _attach_maps(
+def attach_maps(
     docs: DataFrame, domains: Sequence[Domain], indexes: Sequence[int], hot_keys: HotKeys | None
 ) -> DataFrame:
     """``docs`` with one id → name map column per domain.
@@ -235,7 +245,7 @@ def _attach_maps(
     map, and so would different sets with the same hash: lookups are by id, so a larger map
     changes nothing. No document key is needed, and none can be null or repeated.
     """
-    ids = {i: id_set(domains[i].array, domains[i].id_field) for i in indexes}
+    ids = {i: domains[i].id_set() for i in indexes}
     set_hash = F.xxhash64(*ids.values()).alias(_SET)
     id_columns = [expr.alias(_helper("ids", i)) for i, expr in ids.items()]
 

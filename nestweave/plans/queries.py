@@ -33,6 +33,7 @@ from nestweave.operators.keys import (
 )
 from nestweave.operators.lookup import Domain, enrich, lookup_sizes, prune_dimensions
 from nestweave.operators.maintained import MaintainedDimension
+from nestweave.operators.path_lookup import PathDomain, enrich_paths
 from nestweave.operators.metrics import add_digests, digest_of, row_count
 from nestweave.operators.spread import spread_join
 from nestweave.plans.order_documents import (
@@ -322,6 +323,42 @@ def _with_names(docs: DataFrame, names: DataFrame, arrays: Sequence[str] = tuple
     return enrich(docs, [domain(array) for array in arrays])
 
 
+def _deep_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order documents one level deeper: an array of structs, in them suppliers and parts as maps, in those arrays."""
+
+    def by_key(array: str, id_field: str):
+        entries = F.transform(array, lambda x: F.struct(x[id_field].cast("string").alias("key"), x.alias("value")))
+        return F.map_from_entries(F.filter(entries, lambda x: x["key"].isNotNull())).alias(array)
+
+    docs = documents(spark, sf_dir, "orders")
+    group = F.struct(F.lit("order").alias("kind"), by_key("suppliers", "suppKey"), by_key("parts", "partKey"))
+    return docs.select("orderKey", F.array(group).alias("groups"))
+
+
+@query(
+    f"""
+SELECT 'suppliers' AS domain, * FROM ({SUPPLIER_SQL})
+UNION ALL SELECT 'parts' AS domain, * FROM ({PART_SQL})
+"""
+)
+def nested_lookup_any_depth(spark, sf_dir):
+    """Ids inside maps inside an array, written into the arrays that the maps hold."""
+    domains = [
+        PathDomain("groups[].suppliers{}.suppKey", "groups[].suppliers{}.lines[].ENRICH", read_table(spark, sf_dir, "supplier"), "s_suppkey", "s_name"),
+        PathDomain("groups[].parts{}.partKey", "groups[].parts{}.lines[].ENRICH", read_table(spark, sf_dir, "part"), "p_partkey", "p_name"),
+    ]
+    found = enrich_paths(_deep_documents(spark, sf_dir), domains, "document_maps")
+    groups = found.select("orderKey", F.explode("groups").alias("g"))
+    arrays = {
+        array: groups.select("orderKey", F.map_values(F.col("g")[array]).alias(array)) for array in ("suppliers", "parts")
+    }
+    rows = [
+        order_lines(arrays["suppliers"], "suppliers", "suppKey").withColumn("domain", F.lit("suppliers")),
+        order_lines(arrays["parts"], "parts", "partKey").withColumn("domain", F.lit("parts")),
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
 @query(ALL_DOMAINS_SQL)
 def nested_lookup_bucketed_reference(spark, sf_dir):
     """Names from a table bucketed by id, to which the wide reference was appended in two parts."""
