@@ -35,6 +35,7 @@ from nestweave.operators.lookup import Domain, enrich, lookup_sizes, prune_dimen
 from nestweave.operators.maintained import MaintainedDimension
 from nestweave.operators.path_lookup import PathDomain, enrich_paths
 from nestweave.operators.metrics import add_digests, digest_of, row_count
+from nestweave.operators.sketches import SketchLog, dimension_sketches, overlap_estimates
 from nestweave.operators.spread import spread_join
 from nestweave.plans.order_documents import (
     documents,
@@ -626,6 +627,30 @@ def dimension_lookup_sizes(spark, sf_dir):
     return lookup_sizes(docs, [order_flag_domain(spark, sf_dir)])
 
 
+@query(
+    """
+SELECT 'orders' AS domain, count(DISTINCT o_orderkey) AS ids, count(DISTINCT l_orderkey) AS found,
+       TRUE AS ids_within, TRUE AS found_within
+FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey
+"""
+)
+def dimension_overlap_estimates(spark, sf_dir):
+    """Sketches of four batches, stored and merged: within 3 % of the exact numbers, which stand beside."""
+    docs = documents(spark, sf_dir, "customers")
+    domain = order_flag_domain(spark, sf_dir).stored()
+    log = SketchLog(spark, shared_folder(spark, "sketches"), {"orders": "orderKey"})
+    for part in range(4):
+        log.record(docs.where(F.pmod(F.xxhash64("custKey"), F.lit(4)) == part), part)
+    known = dimension_sketches({"orders": (domain.dimension, "l_orderkey")})
+    estimates = overlap_estimates(log.total(), known).select("domain", F.col("ids").alias("about"), F.col("found").alias("about_found"))
+    exact = lookup_sizes(docs, [domain]).join(estimates, "domain")
+    return exact.select(
+        "domain", "ids", "found",
+        (F.abs(F.col("about") - F.col("ids")) <= F.col("ids") * 0.03).alias("ids_within"),
+        (F.abs(F.col("about_found") - F.col("found")) <= F.col("found") * 0.03).alias("found_within"),
+    )
+
+
 @query("SELECT count(*) AS n_rows FROM lineitem")
 def row_counts(spark, sf_dir):
     return row_count(read_table(spark, sf_dir, "lineitem"))
