@@ -59,8 +59,7 @@ def phrase_rows():
     return rows
 
 
-@pytest.mark.parametrize("budget", [collocations.BUDGET, 50])
-@pytest.mark.parametrize("top", [2000, 7])
+@pytest.mark.parametrize(("budget", "top"), [(collocations.BUDGET, 2000), (50, 7)])
 def test_collocations(spark, budget, top):
     rows = phrase_rows()
     frame = spark.createDataFrame([(i, t, x, 0, "z") for i, (x, t) in enumerate(rows)], "doc_id long, text string, lang string, n int, rank string")
@@ -161,7 +160,8 @@ def spelling_rows():
     rows += [(500, None), (501, ""), (502, "-- 12"), (503, f"{long} {long} {long}q {long}q {long}z {long[:-1]}z {long[:-1]}z {long}z")]
     rows += [(7, rows[3][1]), (None, rows[4][1]), (None, rows[4][1])]
     # Chains of forms, and words that have two best near words.
-    rows += [(600 + i, "mountain " * 40) for i in range(100)] + [(800, "mountaim " * 50 + "mountaims " * 4 + "fountain " * 4)]
+    rows += [(600 + i, "mountain " * 40) for i in range(100)] + [(800 + i, "mountaim " * 6) for i in range(10)]
+    rows += [(830 + i, "mountaims " * 2 + "fountain " * 2) for i in range(2)]
     return rows
 
 
