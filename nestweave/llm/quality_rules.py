@@ -64,8 +64,11 @@ def _lettered_words() -> Column:
 
 def _stutters() -> Column:
     """Words equal to the one before them."""
-    words = F.col("words")
-    return F.size(F.filter(F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.get(words, i) == F.get(words, i - 1)))
+
+    def count(words: Column) -> Column:
+        return F.size(F.filter(F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.get(words, i) == F.get(words, i - 1)))
+
+    return _let(F.col("words"), count)
 
 
 #: What a document must not have more of than given; all rules hold for every language.
@@ -127,7 +130,8 @@ def measured(docs: DataFrame) -> DataFrame:
         "word_chars": F.length(F.regexp_replace("text", SPACE, "")),
         "n_symbols": _characters(F.col("text"), _SYMBOLS),
         "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
-        "n_repeat_words": _repeated(F.col("words")),
+        # Bound once: a filter on a measure that Spark moves below these columns would make the words anew for every place.
+        "n_repeat_words": _let(F.col("words"), _repeated),
         "n_lines": F.size("_lines"),
     }
     return rows.withColumns({k: v.cast("long") for k, v in sizes.items()}).drop("_lines")

@@ -16,8 +16,8 @@ from functools import cache
 
 from tokenizers import Tokenizer
 
-#: Pieces kept per Python worker in each of two generations, about 70 MB in all.
-KEPT_PIECES = 150_000
+#: Pieces kept per Python worker in each of two generations, about 40 MB in all.
+KEPT_PIECES = 80_000
 #: Characters of a longer piece, which isn't kept.
 LONG = 64
 #: Characters of text that are cut into pieces at a time, about.
