@@ -84,7 +84,7 @@ def _smallest(width: int) -> Column:
 
 def repeated_runs(docs: DataFrame, min_run: int = MIN_RUN, long: int = LONG) -> DataFrame:
     """(doc_id, text_hash, line, n_lines, ref_doc, ref_line): maximal runs that also stand in an earlier place."""
-    every = written(windows(docs, min_run, long).distinct(), "windows")
+    every = written(windows(docs, min_run, long), "windows")
     # A short run whose words are those of a longer one is another run: its fingerprint goes with its width.
     every = every.withColumn("fingerprint", F.xxhash64("width", "fingerprint"))
     shared = every.where("lead").groupBy("fingerprint").agg(F.count("*").alias("n")).where("n > 1")
@@ -95,10 +95,11 @@ def repeated_runs(docs: DataFrame, min_run: int = MIN_RUN, long: int = LONG) ->
     firsts = candidates.groupBy("content").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     matched = attach(candidates, written(firsts, "first-places"), "content", "n")
     row = ["doc_id", "text_hash", "width"]
+    # Rows that are equal in id and text are one document, which only their matches need to know.
     later = matched.where((F.col("n") > 1) & (place > F.col("first"))).select(
         *row, "line", F.col("first.doc_id").alias("ref_doc"), F.col("first.text_hash").alias("ref_hash"),
         (F.col("line") - F.col("first.line")).alias("shift"),
-    )
+    ).distinct()
     reference = ["ref_doc", "ref_hash", "shift"]
     numbered = later.selectExpr("*", f"line - row_number() OVER (PARTITION BY {', '.join([*row, *reference])} ORDER BY line) AS run")
     runs = numbered.groupBy(*row, *reference, "run").agg(F.min("line").alias("line"), F.count("*").alias("n"))
