@@ -50,17 +50,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def attach(rows: DataFrame, groups: DataFrame, key: str, count: str) -> DataFrame:
+def attach(rows: DataFrame, groups: DataFrame, key: str, count: str, merge: bool = False) -> DataFrame:
     """``rows`` with the columns of their group; ``groups`` has one row per key and its size.
 
     A group above ``1 / HOT_SHARE`` of all rows is joined by broadcast, and there are fewer than
-    HOT_SHARE of those by construction; the others meet by a shuffle on the key. Every key of
-    ``rows`` must be in ``groups``.
+    HOT_SHARE of those by construction; the others meet by a shuffle on the key, or as Spark finds best for
+    their size unless ``merge`` is set. Every key of ``rows`` must be in ``groups``.
     """
     total = groups.agg(F.sum(count)).first()[0] or 0
     limit = max(HOT_FLOOR, total // HOT_SHARE)
     hot = F.broadcast(groups.where(F.col(count) > limit))
-    cold = rows.join(hot, key, "left_anti").join(groups.where(F.col(count) <= limit), key)
+    rest = groups.where(F.col(count) <= limit)
+    cold = rows.join(hot, key, "left_anti").join(rest.hint("merge") if merge else rest, key)
     return cold.unionByName(rows.join(hot, key))
 
 

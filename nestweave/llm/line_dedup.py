@@ -112,7 +112,8 @@ def attach_shared(every: DataFrame, shared: DataFrame) -> DataFrame:
 
     A fingerprint that isn't there has few runs, so the common ones are known from ``m``.
     """
-    found = attach(every, shared, "fingerprint", "m")
+    # Fingerprints grow with the texts, so they meet by a shuffle at every size.
+    found = attach(every, shared, "fingerprint", "m", merge=True)
     return found.select("doc_id", "text_hash", "line", "width", F.concat(F.hex("width").cast("binary"), "content").alias("content"))
 
 
