@@ -263,6 +263,48 @@ def test_repair_reads_and_writes_only_batches_that_miss_a_name(spark, tmp_path):
     assert sorted(map(key, out.rows().collect())) == sorted(map(key, lookup(every, names).collect()))
 
 
+def test_repair_replaces_batches_together_and_documents_first(spark, tmp_path, monkeypatch):
+    from nestweave.operators.keys import domain_keys
+    from nestweave.streaming import repair
+
+    monkeypatch.setattr(repair, "TOGETHER", 3)
+    raw = "k int, teams array<struct<teamId: string, members: array<struct<n: int>>>>"
+    kind = T.StructType.fromDDL("k int, teams array<struct<teamId: string, members: array<struct<n: int, ENRICH: string>>>>")
+    frame = lambda b: spark.createDataFrame([(b, [(t, [(b,)]) for t in ("a", f"b{b}")]), (b, None)], raw)
+
+    def reference(*known):
+        table = spark.createDataFrame([("teams", k, k.upper()) for k in ("a", *known)], "domain string, id string, name string")
+        return lambda keys: table.join(keys, ["domain", "id"], "left_semi")
+
+    def lookup(docs, names):
+        return enrich(docs, [Domain("teams", "teamId", "members", names, "id", "name")])
+
+    out = RepairableOutput(spark, str(tmp_path / "out"), kind, lambda d: domain_keys(d, {"teams": "teamId"}), lookup)
+    for i in range(5):
+        out.write(frame(i), i, reference())
+    plain, done = repair.PartitionedFolder.replace, []
+
+    def replace(folder, rows, changed=None):
+        done.append(folder.path.rsplit("/", 1)[1])
+        if len(done) == 2:
+            raise KeyboardInterrupt
+        return plain(folder, rows, changed)
+
+    monkeypatch.setattr(repair.PartitionedFolder, "replace", replace)
+    names = reference("b0", "b1", "b2", "b3")
+    with pytest.raises(KeyboardInterrupt):  # the ledger wasn't written and still names what the documents have got
+        out.repair(names)
+    assert done == ["documents", "misses"] and out.missing().count() == 5
+    assert out.repair(names) == [0, 1, 2, 3]
+    assert done[2:] == ["documents", "misses"] * 2
+    assert [r.id for r in out.missing().collect()] == ["b4"]
+    every = frame(0)
+    for i in range(1, 5):
+        every = every.unionByName(frame(i))
+    want = lookup(every, names(domain_keys(every, {"teams": "teamId"})))
+    assert sorted(map(repr, out.rows().collect())) == sorted(map(repr, want.collect()))
+
+
 # --- digests ---
 
 
