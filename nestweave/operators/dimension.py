@@ -56,10 +56,13 @@ def chosen_names(
 
     table = None if bits is None else key_bitmap(keys, ["domain", "id"], bits).scalar()
     entries = F.array_compact(F.array(*[entry(d, i, n) for d, (i, n) in domains.items()]))
-    ranks = F.struct(*[column(c).alias(f"order_{i}") for i, c in enumerate(order)])
-    rows = reference.select(ranks.alias("rank"), F.explode(entries).alias("entry"))
-    last = F.max_by("name", F.struct("rank", "name"))
-    chosen = rows.select("rank", "entry.*").groupBy("domain", "id").agg(last.alias("name"))
+    ranks = [column(c).alias(f"order_{i}") for i, c in enumerate(order)]
+    rows = reference.select(*ranks, F.explode(entries).alias("entry")).select(*[f"order_{i}" for i in range(len(order))], "entry.*")
+    # The last rank of every name first: its buffer is a number, so rows combine in a hash table as they are read,
+    # where a buffer with a string in it has them all sorted, and spilled, before any combine.
+    rank = F.col("order_0") if len(order) == 1 else F.struct(*[f"order_{i}" for i in range(len(order))])
+    named = rows.groupBy("domain", "id", "name").agg(F.max(rank).alias("rank"))
+    chosen = named.groupBy("domain", "id").agg(F.max_by("name", F.struct("rank", "name")).alias("name"))
     return chosen.join(keys, ["domain", "id"], "left_semi")
 
 

@@ -106,6 +106,20 @@ def test_chosen_names_of_a_hot_id(spark):
         assert plan.index("Join") < plan.index("HashAggregate" if "HashAggregate" in plan else "SortAggregate")
 
 
+def test_chosen_names_combine_without_a_sort(spark):
+    """Rows of the reference combine as they are read; ties, null names and several order columns decide as before."""
+    rows = [(i % 9, None if i % 4 == 0 else f"n{i % 5}", None if i % 7 == 0 else i % 3, i % 2) for i in range(400)] + [(11, None, None, None)]
+    reference = spark.createDataFrame(rows, "id long, name string, at int, then int").repartition(4)
+    keys = spark.createDataFrame([("d", i) for i in (0, 3, 8, 11)], "domain string, id long")
+    for order in (["at"], ["at", "then"]):
+        got = chosen_names(reference, {"d": ("id", "name")}, order, keys)
+        want = last_wins_dimension(reference, "id", "name", order).where("id IN (0, 3, 8, 11)")
+        assert sorted(map(repr, (tuple(r) for r in got.select("id", "name").collect()))) == sorted(map(repr, (tuple(r) for r in want.collect())))
+    plan = physical(chosen_names(reference, {"d": ("id", "name")}, ["at"], keys))
+    partial = plan[: plan.index("Generate")].rsplit("Exchange", 1)[1]
+    assert "HashAggregate" in partial and "SortAggregate" not in partial
+
+
 # --- partitions and the kept dimension ---
 
 
