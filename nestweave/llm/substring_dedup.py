@@ -43,6 +43,8 @@ HOT_BLOCKS = 2000
 HOT_SAMPLE = 16
 #: From so many blocks of the sampled documents on, an anchor is split.
 HOT_COUNT = 200
+#: Blocks of hot anchors for which there is one more list of the places of each: no list is much longer.
+REPEATS = 10_000
 
 _MASK = (1 << 64) - 1
 #: Odd multipliers of the two hashes; any odd numbers with mixed bits will do.
@@ -255,13 +257,17 @@ def matches(rows: DataFrame) -> DataFrame:
     dense = written(parts.join(few, "anchor"), "hot-blocks")
     place = F.struct("doc_id", "variant", "start")
     places = dense.groupBy(*block).agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    places = written(places.withColumn("block", F.xxhash64(*block)), "hot-places")
-    again = dense.withColumn("block", F.xxhash64(*block)).join(places.where("n > 1"), [*block, "block"])
+    places = written(places, "hot-places")
+    # The places of a block meet its first as lists, which combine on the map side and don't grow with the block.
+    piece = F.pmod(F.xxhash64("doc_id", "variant", "start"), F.lit(1 + dense.count() // REPEATS)).alias("piece")
+    lists = dense.groupBy(*block, piece).agg(F.collect_list(place).alias("places"))
+    again = lists.join(places.where("n > 1"), block).repartition(*block, "piece")
+    again = again.select(*block, "first", F.explode("places").alias("place")).where("place > first")
     # The document of a first block may hold it again. Its first is no smaller document, so those blocks are
     # unfolded as well; of the others only the place is needed.
-    again = again.where(place > F.col("first")).select(
-        "anchor", "doc_id", "variant", "start", "first", (F.octet_length("windows") / 8).cast("int").alias("n"),
-        F.when(F.col("doc_id") == F.col("first.doc_id"), F.col("windows")).alias("windows"),
+    again = again.select(
+        "anchor", "place.*", "first", (F.octet_length("windows") / 8).cast("int").alias("n"),
+        F.when(F.col("place.doc_id") == F.col("first.doc_id"), F.col("windows")).alias("windows"),
     )
     again = written(again, "hot-repeats")
     whole = again.where("windows IS NULL").select("doc_id", "variant", "start", "n", *_first())

@@ -75,6 +75,30 @@ def test_substring_dedup_of_a_passage_repeated_in_one_document(spark, monkeypatc
     assert got == sorted(repeated_words(rows))
 
 
+@pytest.mark.parametrize("repeats", [10**9, 7])
+def test_repeats_of_hot_blocks_meet_their_first_as_lists(spark, monkeypatch, repeats):
+    monkeypatch.setattr(substring_dedup, "HOT_COUNT", 0)
+    monkeypatch.setattr(substring_dedup, "HOT_SAMPLE", 1)
+    monkeypatch.setattr(substring_dedup, "REPEATS", repeats)
+    plain, met = substring_dedup.written, []
+
+    def written(df, name):
+        if name == "hot-repeats":
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            met.append(plan[plan.index("Join") :])
+        return plain(df, name)
+
+    monkeypatch.setattr(substring_dedup, "written", written)
+    rng = np.random.default_rng(31)
+    prose = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 10**6, n))
+    passage = prose(30)
+    rows = [(i, f"{prose(20)} {passage} {prose(15)} {passage if i % 5 == 0 else ''}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(map(tuple, substring_dedup.remove_repeats(docs).collect()))
+    assert got == sorted(repeated_words(rows))
+    assert len(met) == 1 and "collect_list" in met[0]
+
+
 @pytest.mark.parametrize("hot", [10**9, 0])
 def test_substring_dedup_of_repeated_ids(spark, monkeypatch, hot):
     monkeypatch.setattr(substring_dedup, "HOT_COUNT", hot)
