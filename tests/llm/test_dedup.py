@@ -324,6 +324,23 @@ def test_a_group_of_500_altered_copies(spark, with_original):
     assert got == want and len(want) > 300
 
 
+def test_few_shared_bands_are_found_without_moving_all(spark, monkeypatch):
+    plain, plans = minhash.written, {}
+
+    def written(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return plain(df, name)
+
+    monkeypatch.setattr(minhash, "written", written)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = spark.createDataFrame([(i, f"a b c d e f g h i j {i // 2}") for i in range(8)], "doc_id long, text string")
+        assert minhash.near_copies(frame).count() == 8
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plans["shared-bands"]
+
+
 def test_near_copies_with_repeated_ids(spark):
     rng = np.random.default_rng(13)
     prose = lambda n: " ".join(f"p{x}" for x in rng.integers(0, 10**6, n))
