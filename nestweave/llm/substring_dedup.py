@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -109,6 +110,8 @@ def blocks_of(words: list[bytes], hashes: TextHashes) -> Iterator[tuple[np.ndarr
 
 _BLOCK = pa.schema([("anchor", pa.int64()), ("doc_id", pa.int64()), ("variant", pa.int64()), ("start", pa.int32()), ("windows", pa.binary())])
 
+_HOT_BLOCK = _BLOCK.insert(4, pa.field("times", pa.int32()))
+
 
 def blocks(rows: DataFrame) -> DataFrame:
     """The blocks of every text of ``rows`` (doc_id, variant, text)."""
@@ -126,6 +129,38 @@ def blocks(rows: DataFrame) -> DataFrame:
     return rows.select("doc_id", "variant", "text").mapInArrow(_batched(cut), "anchor long, doc_id long, variant long, start int, windows binary")
 
 
+def hot_blocks(rows: DataFrame, hot: list[int]) -> DataFrame:
+    """The blocks of ``rows`` under the anchors ``hot``; a block ``times`` in a row, each right after the other, is one row.
+
+    A few words over and over are one block over and over; rows don't grow with that.
+    """
+    chosen = np.sort(np.array(hot, dtype=np.int64))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = TextHashes()
+        for batch in batches:
+            for doc_id, variant, text in each_row(batch):
+                for anchor, start, windows in blocks_of(text.encode().split(), hashes):
+                    near = chosen[np.minimum(np.searchsorted(chosen, anchor), len(chosen) - 1)]
+                    runs: list[list] = []
+                    for i in np.flatnonzero(near == anchor).tolist():
+                        last = runs[-1] if runs else None
+                        # Blocks with equal windows have one anchor.
+                        if last and last[0] == i - last[1] and windows[i] == windows[last[0]]:
+                            last[1] += 1
+                        else:
+                            runs.append([i, 1])
+                    if runs:
+                        at = [i for i, _ in runs]
+                        names = [pa.array(np.full(len(at), x, dtype=np.int64)) for x in (doc_id, variant)]
+                        times = pa.array([n for _, n in runs], pa.int32())
+                        places = [pa.array(start[at], pa.int32()), times, pa.array([windows[i] for i in at], pa.binary())]
+                        yield pa.RecordBatch.from_arrays([pa.array(anchor[at]), *names, *places], schema=_HOT_BLOCK)
+
+    schema = "anchor long, doc_id long, variant long, start int, times int, windows binary"
+    return rows.select("doc_id", "variant", "text").mapInArrow(_batched(cut), schema)
+
+
 def _batched(function, rows: int = 20_000):
     """``function`` with its small batches put together."""
 
@@ -252,10 +287,10 @@ def matches(rows: DataFrame) -> DataFrame:
 
     # Equal blocks of hot anchors combine on the map side. A later one matches the first as a whole,
     # and only the windows of first blocks, and of their repeats in the same document, are compared
-    # one by one, again with their first place.
+    # one by one, again with their first place. The first is where its document has most of them in a row.
     block = ["anchor", "windows"]
-    dense = written(parts.join(few, "anchor"), "hot-blocks")
-    place = F.struct("doc_id", "variant", "start")
+    dense = written(hot_blocks(rows, hot).withColumn("fewer", F.negative("times")), "hot-blocks")
+    place = F.struct("doc_id", "variant", "fewer", "start", "times")
     places = dense.groupBy(*block).agg(F.min(place).alias("first"), F.count("*").alias("n"))
     places = written(places, "hot-places")
     # The places of a block meet its first as lists, which combine on the map side and don't grow with the block.
@@ -270,13 +305,18 @@ def matches(rows: DataFrame) -> DataFrame:
         F.when(F.col("place.doc_id") == F.col("first.doc_id"), F.col("windows")).alias("windows"),
     )
     again = written(again, "hot-repeats")
-    whole = again.where("windows IS NULL").select("doc_id", "variant", "start", "n", *_first())
-    single = places.select("anchor", "first.doc_id", "first.variant", "first.start", "windows")
-    single = single.unionByName(again.where("windows IS NOT NULL").select("anchor", "doc_id", "variant", "start", "windows"))
-    wide = written(single.mapInArrow(_flat, "anchor long, window long, doc_id long, variant long, start int"), "hot-windows")
+    # As many in a row as the first has are one match; it ends where the reference does.
+    whole = again.where("windows IS NULL").withColumn("nth", F.explode(F.expr("sequence(0, times - 1, first.times)")))
+    n = F.col("n") * F.least(F.col("times") - F.col("nth"), F.col("first.times"))
+    whole = whole.select("doc_id", "variant", (F.col("start") + F.col("nth") * F.col("n")).alias("start"), n.alias("n"), *_first())
+    single = places.select("anchor", "first.doc_id", "first.variant", "first.start", "first.times", "windows")
+    single = single.unionByName(again.where("windows IS NOT NULL").select("anchor", "doc_id", "variant", "start", "times", "windows"))
+    wide = written(single.mapInArrow(_flat, "anchor long, window long, doc_id long, variant long, start int, step int, times int"), "hot-windows")
+    place = F.struct("doc_id", "variant", "start")
     firsts = wide.groupBy("anchor", "window").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     hits = wide.join(firsts.where("n > 1").drop("n"), ["anchor", "window"]).where("doc_id > first.doc_id")
-    one = hits.select("doc_id", "variant", "start", F.lit(1).alias("n"), *_first())
+    every = F.explode(F.expr("sequence(start, start + (times - 1) * step, step)")).alias("start")
+    one = hits.select("doc_id", "variant", every, F.lit(1).alias("n"), *_first())
     return found.unionByName(whole).unionByName(one)
 
 
@@ -285,11 +325,14 @@ def _first() -> list[Column]:
 
 
 def _flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per window of every block, named by its hash."""
+    """One row per window of every block, named by its hash; there are ``times`` of it, ``step`` windows apart."""
     for batch in batches:
         w = _Windows.of(batch)
+        step = pc.binary_length(batch.column("windows")).to_numpy() // 8
+        step, times = np.repeat(step, step), np.repeat(batch.column("times").to_numpy(), step)
         columns = [pa.array(w.anchor), pa.array(w.window.view(np.int64)), pa.array(w.doc), pa.array(w.variant), pa.array(w.start.astype(np.int32))]
-        yield pa.RecordBatch.from_arrays(columns, names=["anchor", "window", "doc_id", "variant", "start"])
+        names = ["anchor", "window", "doc_id", "variant", "start", "step", "times"]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(step, pa.int32()), pa.array(times, pa.int32())], names=names)
 
 
 def parse(docs: DataFrame) -> DataFrame:

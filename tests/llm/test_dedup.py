@@ -99,6 +99,38 @@ def test_repeats_of_hot_blocks_meet_their_first_as_lists(spark, monkeypatch, rep
     assert len(met) == 1 and "collect_list" in met[0]
 
 
+@pytest.mark.parametrize("hot", [10**9, 0])
+def test_words_over_and_over_are_one_hot_block(spark, monkeypatch, hot):
+    monkeypatch.setattr(substring_dedup, "HOT_COUNT", hot)
+    monkeypatch.setattr(substring_dedup, "HOT_SAMPLE", 1)
+    monkeypatch.setattr(substring_dedup, "REPEATS", 7)
+    monkeypatch.setattr(substring_dedup, "SEGMENT", 100)
+    plain, made = substring_dedup.written, {}
+
+    def written(df, name):
+        made[name] = plain(df, name)
+        return made[name]
+
+    monkeypatch.setattr(substring_dedup, "written", written)
+    rng = np.random.default_rng(41)
+    prose = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 10**6, n))
+    # Pairs and triples of words, the first documents with few of them in a row, twice and cut off in the middle.
+    rows = [(0, f"{prose(9)} {'a b ' * 9} {prose(5)} {'a b ' * 14} a {prose(9)}"), (1, f"{'x y z ' * 6} {prose(14)} {'x y z ' * 11} x y")]
+    rows += [(i, f"{prose(i % 7)} {'a b ' * (i % 9 + 20 * (i % 3))} {prose(3)} {'x y z ' * (3 * i)} {prose(14)}") for i in range(2, 60)]
+    rows += [(60, "b a " * 40 + "c " * 80), (61, "c " * 90), (61, "c " * 90), (61, "d c " * 30), (62, "c " * 13 + "d c " * 45)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(map(tuple, substring_dedup.remove_repeats(docs).collect()))
+    assert got == sorted(repeated_words(rows))
+    if not hot:
+        found = made["hot-repeats"].agg(F.count("*").alias("rows"), F.sum("times").alias("places")).first()
+        assert found.rows * 5 < found.places
+
+    texts = {i: t.split() for i, t in rows if i != 61}
+    for f in substring_dedup.parse(docs.where("doc_id <> 61")).collect():
+        assert f.ref_doc < f.doc_id and f.start + f.n_words <= len(texts[f.doc_id])
+        assert texts[f.doc_id][f.start : f.start + f.n_words] == texts[f.ref_doc][f.ref_start : f.ref_start + f.n_words]
+
+
 @pytest.mark.parametrize("hot", [10**9, 0])
 def test_substring_dedup_of_repeated_ids(spark, monkeypatch, hot):
     monkeypatch.setattr(substring_dedup, "HOT_COUNT", hot)
