@@ -319,6 +319,37 @@ def test_repair_replaces_batches_together_and_documents_first(spark, tmp_path, m
     assert sorted(map(repr, out.rows().collect())) == sorted(map(repr, want.collect()))
 
 
+def test_a_new_batch_is_written_once_by_several_tasks(spark, tmp_path, monkeypatch):
+    from nestweave.operators.keys import domain_keys
+
+    raw = "k int, teams array<struct<teamId: string, members: array<struct<n: int>>>>"
+    kind = T.StructType.fromDDL("k int, teams array<struct<teamId: string, members: array<struct<n: int, ENRICH: string>>>>")
+    spark.createDataFrame([(i, [("a", [(i,)])]) for i in range(200)], raw).coalesce(1).write.parquet(str(tmp_path / "in"))
+    batch = spark.read.schema(raw).parquet(str(tmp_path / "in"))  # one file, which one task reads
+    names = spark.createDataFrame([("teams", "a", "A")], "domain string, id string, name string")
+
+    def lookup(docs, names):
+        return enrich(docs, [Domain("teams", "teamId", "members", names, "id", "name")])
+
+    out = RepairableOutput(spark, str(tmp_path / "out"), kind, lambda d: domain_keys(d, {"teams": "teamId"}), lookup)
+    plain, kinds = PartitionedFolder._write, []
+
+    def write(folder, rows, kind):
+        kinds.append((folder.path.rsplit("/", 1)[1], kind))
+        plain(folder, rows, kind)
+
+    monkeypatch.setattr(PartitionedFolder, "_write", write)
+    out.write(batch, 0, lambda keys: names)
+    assert kinds == []  # neither a copy beside the folder nor a mark
+    assert len([f for f in files(tmp_path / "out" / "documents" / "data") if f.endswith(".parquet") and "batch_id=0" in f]) > 1
+    want = sorted((i, "A") for i in range(200))
+    read = lambda o: sorted((r.k, r.teams[0].members[0].ENRICH) for r in o.rows().collect())
+    assert read(out) == want
+    # A replay finds its batch there and goes the long way, in which a crash leaves no half.
+    out.write(batch, 0, lambda keys: names)
+    assert ("documents", "pending") in kinds and ("misses", "pending") in kinds and read(out) == want
+
+
 # --- digests ---
 
 
