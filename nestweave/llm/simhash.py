@@ -16,10 +16,12 @@ repeat a ``doc_id`` are fingerprinted one by one; other columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,13 +60,15 @@ def fingerprint_of(text: str) -> int:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, fp) of every row; ``fp`` is the fingerprint as a signed long."""
+    rows = texts(docs)
 
-    @F.pandas_udf(T.LongType())
-    def fp(text: pd.Series) -> pd.Series:
-        values = np.array([fingerprint_of(x) for x in text], dtype=np.uint64)
-        return pd.Series(values.view(np.int64))
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = np.array([fingerprint_of(x.as_py()) for x in batch.column("text")], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values.view(np.int64))], names=["doc_id", "fp"])
 
-    return texts(docs).select("doc_id", fp("text").alias("fp"))
+    named = T.StructField("doc_id", rows.schema["doc_id"].dataType)
+    return rows.mapInArrow(cut, T.StructType([named, T.StructField("fp", T.LongType())]))
 
 
 def keys_of(values: np.ndarray) -> list[np.ndarray]:
@@ -83,17 +87,23 @@ def keys_of(values: np.ndarray) -> list[np.ndarray]:
     return [row[row >= 0] for row in every]
 
 
-def fuzzy_keys(fp: Column) -> Column:
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def keys(values: pd.Series) -> pd.Series:
-        return pd.Series(keys_of(values.to_numpy(dtype=np.int64)))
+def fuzzy_keys(distinct: DataFrame) -> DataFrame:
+    """(fp, key) of every fingerprint of ``distinct`` (column fp)."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                values = batch.column("fp").to_numpy()
+                lists = keys_of(values)
+                columns = [np.repeat(values, [len(x) for x in lists]), np.concatenate(lists)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["fp", "key"])
 
-    return keys(fp)
+    return distinct.select("fp").mapInArrow(cut, "fp long, key long")
 
 
 def linked_pairs(distinct: DataFrame, most: int = MOST) -> DataFrame:
     """(a, b) pairs of fingerprints that connect all linked ones of ``distinct`` (column fp)."""
-    keyed = written(distinct.select("fp", F.explode(fuzzy_keys(F.col("fp"))).alias("key")), "keys")
+    keyed = written(fuzzy_keys(distinct), "keys")
     sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     sizes = written(sizes, "key-sizes")
     narrow = keyed.join(sizes.where(F.col("n") <= most).select("key"), "key")

@@ -391,6 +391,37 @@ def test_near_copies_with_repeated_ids(spark):
     assert {tuple(r) for r in kept.collect()} & {(2, a + " more"), (3, a.upper()), (3, c + " x"), (3, c)} in ({(3, c)}, {(3, c + " x")})
 
 
+def test_pipeline_near_copies_by_fingerprint_and_over_chains(spark):
+    """Texts within two bits of SimHash are near copies too, whatever their Jaccard, also over chains of both kinds of link."""
+    rng = np.random.default_rng(15)
+    jaccard = lambda a, b: len(a & b) / len(a | b)
+
+    def altered(words):
+        """Within two bits, but too far apart for five-word shingles."""
+        sets = sets_of([(0, " ".join(words))]).popitem()[1]
+        while True:
+            other = list(words)
+            for at in rng.choice(len(words), size=8, replace=False):
+                other[at] = f"n{rng.integers(10**6)}"
+            bits = simhash.fingerprint_of(" ".join(words)) ^ simhash.fingerprint_of(" ".join(other))
+            if bits.bit_count() <= 2 and jaccard(sets, sets_of([(0, " ".join(other))]).popitem()[1]) < 0.78:
+                return other
+
+    a, b, alone = ([f"s{x}" for x in rng.integers(0, 10**6, 260)] for _ in range(3))
+    far, chained = altered(a), altered(b)
+    link = [*b[:200], "x", *b[201:]]  # by its Jaccard near b, which is within two bits of the smallest
+    rows = [(1, a), (2, far), (5, b), (4, link), (3, chained), (6, alone), (None, a)]
+    frame = spark.createDataFrame([(i, " ".join(w), 1) for i, w in rows], "doc_id int, text string, n int").repartition(3)
+    kept = corpus_pipeline.keep_one_of_near_copies(spark, frame, "")
+    assert kept.columns == frame.columns
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == sorted((i or 0, " ".join(w)) for i, w in rows if i in (None, 1, 3, 6))
+    # Rows that repeat an id are told apart.
+    same = [(1, a), (1, far), (2, b), (2, link), (2, alone)]
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in same], "doc_id long, text string").repartition(3)
+    texts = {r.text for r in corpus_pipeline.keep_one_of_near_copies(spark, frame, "").collect()}
+    assert len(texts) == 3 and len(texts & {" ".join(a), " ".join(far)}) == len(texts & {" ".join(b), " ".join(link)}) == 1
+
+
 def test_pipeline_stages_tell_rows_apart(spark, sf_dir):
     rng = np.random.default_rng(14)
     prose = lambda n: " ".join(f"q{x}" for x in rng.integers(0, 10**6, n))
